@@ -24,6 +24,12 @@ DICT_BYTES = 96 << 10
 LEVEL = 3
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+OTHER = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> bytes:
+    """What is compressed: lower-case words with one space between, so that mark-up and numbers speak for no language."""
+    return OTHER.sub(" ", text.lower()).encode()
 
 
 def held_out(part: int = 1, of: int = 3):
@@ -49,9 +55,9 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
         for _, _, text in sorted(docs, key=lambda d: d[:2]):
             if data >= DICT_BYTES:
                 break
-            parts.append(text.lower().encode())
+            parts.append(letters(text))
             data += len(parts[-1])
-        out[lang] = b"\n".join(parts)[-DICT_BYTES:]
+        out[lang] = b" ".join(parts)[-DICT_BYTES:]
     return out
 
 
@@ -77,7 +83,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                data = text.lower().encode()
+                data = letters(text)
                 sizes = [len(p.compress(data)) for p in packers]
                 best = min(sizes)
                 second = min((s for i, s in enumerate(sizes) if i != sizes.index(best)), default=2 * best)
