@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, scratch, sized, written
+from .common import documents, sized, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_DOCS = 4000

@@ -1,8 +1,10 @@
 """The queries opN_<name> and the SQL of those that SQL can express."""
 
-from . import language, mixing
+from . import language, mixing, packing, token_files
 
 QUERIES = {
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_token_files": token_files.op4_token_files,
     "op5_source_mix": mixing.op5_source_mix,
     "op8_language_id": language.op8_language_id,
 }
