@@ -45,29 +45,16 @@ class Encoder:
         new: set[bytes] = set()
         for words in split:
             new.update(words)
-        new.difference_update(self.cache)
-        words = list(new)
+        cache = self.cache
+        words = [w for w in new if w not in cache]
         found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        table = _Either(self.cache)
-        for w, e in zip(words, found, strict=True):
-            ids = array("I", e.ids).tobytes()
-            if len(w) <= WORD_BYTES and len(self.cache) < CACHE_WORDS:
-                self.cache[w] = ids
-            else:
-                table[w] = ids
-        look = (table if table else self.cache).__getitem__
-        return [b"".join(map(look, words)) for words in split]
-
-
-class _Either(dict):
-    """Words of this batch that the cache doesn't take; the others are looked up in the cache."""
-
-    def __init__(self, cache: dict):
-        super().__init__()
-        self.cache = cache
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.cache[word]
+        keep = max(0, CACHE_WORDS - len(self.cache))
+        passing = [w for i, w in enumerate(words) if i >= keep or len(w) > WORD_BYTES]
+        self.cache.update((w, array("I", e.ids).tobytes()) for w, e in zip(words, found, strict=True))
+        out = [b"".join(map(self.cache.__getitem__, words)) for words in split]
+        for w in passing:
+            del self.cache[w]
+        return out
 
 
 def encoder(path: str) -> Encoder:
