@@ -25,7 +25,7 @@ from .common import chunks, documents, sized, tune, utf8, written
 
 CAP = 2048
 END_ID = 0
-RANK_ROWS = 20_000
+RANK_ROWS = 2000
 #: Fillings looked at for one bin, and restarts that take a second choice at one of the first bins.
 NODES, RESTARTS = 4000, 4
 PIECE = "piece int, start long, length long, ids_crc32 long"
