@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import chunks, documents, tune, utf8, written
 
 BLOCK, RATE, LPC_ORDER, LPC_BITS, LPC_SHIFT = 1024, 8000, 4, 12, 9
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: The bytes frequent in texts, most frequent first; the others follow in natural order.
 FREQUENT = b" etaoinshrldcumfpgwybvkj.,\n\xc3xqz\xa9THEAOINSRLDCUMFPGWYBVK"
 #: Fixed predictors of order 0 to 4, as coefficients of the samples before.
