@@ -1,9 +1,10 @@
 """The queries opN_<name> and the SQL of those that SQL can express."""
 
-from . import flac, knn, language, mixing, packing, quality, token_files, warc
+from . import flac, jaccard, knn, language, mixing, packing, quality, token_files, warc
 
 QUERIES = {
     "op1_voronoi_top_k": knn.op1_voronoi_top_k,
+    "op2_jaccard_components": jaccard.op2_jaccard_components,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_token_files": token_files.op4_token_files,
     "op5_source_mix": mixing.op5_source_mix,
