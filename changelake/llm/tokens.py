@@ -31,30 +31,25 @@ def pieces(text: bytes) -> list[bytes]:
     return text.split() if SPECIAL in text else STOP.sub(rb" \1", text.lower()).split()
 
 
-class Encoder:
+class Encoder(dict):
+    """The cache itself: the ids (little-endian u32) of each piece that was met; a piece that wasn't is encoded when asked for."""
+
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        self.ids_of = Tokenizer.from_file(path).encode
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = array("I", self.ids_of(piece.decode("utf-8", "replace"), None, False, False).ids).tobytes()
+        if len(piece) <= WORD_BYTES and len(self) < CACHE_WORDS:
+            self[piece] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
-        split = [pieces(t) for t in texts]
-        new: set[bytes] = set()
-        for words in split:
-            new.update(words)
-        cache = self.cache
-        words = [w for w in new if w not in cache]
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        keep = max(0, CACHE_WORDS - len(self.cache))
-        passing = [w for i, w in enumerate(words) if i >= keep or len(w) > WORD_BYTES]
-        self.cache.update((w, array("I", e.ids).tobytes()) for w, e in zip(words, found, strict=True))
-        out = [b"".join(map(self.cache.__getitem__, words)) for words in split]
-        for w in passing:
-            del self.cache[w]
-        return out
+        return [b"".join(map(self.__getitem__, pieces(t))) for t in texts]
 
 
 def encoder(path: str) -> Encoder:
