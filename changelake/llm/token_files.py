@@ -54,7 +54,14 @@ def encode_segment(doc_ids: list, ids: list[bytes]) -> bytes:
     """One segment of whole documents; ids as little-endian u32."""
     flat = np.frombuffer(b"".join(ids), "<u4")
     lengths = np.asarray([len(x) // 4 for x in ids], "<u4")
-    symbols, code, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    if flat.max() < 1 << 22:  # a table by id, rather than sorting
+        by_id = np.bincount(flat)
+        symbols = np.flatnonzero(by_id)
+        counts, place = by_id[symbols], np.zeros(len(by_id), np.int64)
+        place[symbols] = np.arange(len(symbols))
+        code = place[flat]
+    else:
+        symbols, code, counts = np.unique(flat, return_inverse=True, return_counts=True)
     freq = frequencies(counts)
     start = np.cumsum(freq) - freq
     per = LANES * STEPS
