@@ -29,7 +29,7 @@ from . import tokens
 from .common import chunks, documents, sized, tune, utf8, written
 
 BITS, LANES, STEPS = 16, 32, 256
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 19
 END_ID = 2
 MAGIC = b"RANSSEG1"
 HEAD = struct.Struct("<8s5I")
