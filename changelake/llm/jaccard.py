@@ -4,11 +4,13 @@ Jaccard distance is a metric, so if two sets are within t = 1 - similarity, thei
 most t. The join works by regions that get smaller, each exact:
 
 1. Equal sets are one node (a 128-bit signature); copies never meet as pairs.
-2. The first pivots are single shingles. A set's distance to the pivot {s} is 1 - 1/n if it holds s and 1 otherwise, and
-   a similar set shares all but t of its shingles; so it is enough that a set enters the regions of its first
-   n - ceil(similarity * n) + 1 shingles in one global order (its window). The order puts shingles that were counted often
-   last: counts are taken over all documents, block by block, and the commonest HOT_SHINGLES are kept. The order only
-   decides how many sets meet, never which links are found.
+2. Texts hardly overlap, so most distances to any document are 1 and document pivots alone part nothing. The first pivot
+   is the empty set, under the other metric of sets, the size d of the symmetric difference: the distance to it is a
+   set's size, and regions are size classes; a set also enters the next class if a similar set may lie there (triangle
+   inequality). Similar sets of a class have d <= k, a bound by the class's largest size. Hashes part all shingles into
+   more than k slots; d is the sum over slots, so similar sets agree in some slot that isn't empty. Each set enters the
+   region of each of its slots' contents; sets with so many empty slots that this proves nothing enter the regions of
+   their empty slots, too.
 3. Regions that share sets are merged (connected components of the candidate graph); each merged region is small unless
    the corpus has huge families of near copies. Sets are fetched once, for nodes that share a region only.
 4. A region beyond REGION_NODES or REGION_SHINGLES is split by document pivots into Voronoi cells: a set goes to the cell
@@ -28,13 +30,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, sized, tune, utf8, written
+from .common import chunks, documents, mix64, sized, tune, utf8, written
 from .graphs import components
 from .shingles import shingle_sets, signature
 
 WORDS, PERCENT = 4, 85
-HOT_SHINGLES = 1 << 18
-BLOCK_SHINGLES, LEAST_COUNT = 1 << 21, 3
+#: Size classes grow by this ratio; postings of one block, and of one bucket of the shuffle (16 bytes each).
+CLASS_RATIO = 1.5
+BLOCK_POSTINGS, BUCKET_POSTINGS = 1 << 20, 1 << 21
 REGION_NODES, REGION_SHINGLES = 16_384, 3_000_000
 PIVOTS, MOST_SPLITS = 16, 5
 BATCH_BYTES = 2 << 20
@@ -46,70 +49,60 @@ def needed(n, percent: int):
 
 
 def survey(docs: DataFrame, words: int) -> DataFrame:
-    """kind 0: doc_id, n, and the signature (hi, lo) of every document; kind 1: shingles (hi) counted n times in a block."""
+    """doc_id, n and the signature (hi, lo) of every document's set."""
     tune(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["kind", "doc_id", "n", "hi", "lo"]
-        held, size = [], 0
-
-        def counted():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            keep = counts >= LEAST_COUNT
-            v, m = values[keep].view(np.int64), int(keep.sum())
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(counts[keep].astype(np.int64)), pa.array(v), pa.array(np.zeros(m, np.int64))], names=names)
-
         for batch in chunks(batches, BATCH_BYTES):
             sets = shingle_sets(*utf8(batch.column(1)), words)
             hi, lo = zip(*map(signature, sets), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=names)
-            held += sets
-            size += sum(map(len, sets))
-            if size >= BLOCK_SHINGLES:
-                yield counted()
-                held, size = [], 0
-        if size:
-            yield counted()
-
-    return written(docs.select("doc_id", "text").mapInArrow(run, "kind int, doc_id long, n long, hi long, lo long"), "sets")
-
-
-def hot(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The commonest shingles by their counts, at most HOT_SHINGLES of them: (sorted hashes, counts)."""
-    totals = found.where("kind = 1").groupBy("hi").agg(F.sum("n").alias("c"))
-    totals = written(totals, "counts")
-    by_count = sorted(((r.c, r.m) for r in totals.groupBy(F.least("c", F.lit(1 << 14)).alias("c")).agg(F.count("*").alias("m")).collect()), reverse=True)
-    limit, n = None, 0
-    for c, m in by_count:
-        if n + m > HOT_SHINGLES:
-            break
-        limit, n = c, n + m
-    if limit is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    rows = totals.where(F.col("c") >= limit).toArrow()
-    h, c = rows.column("hi").to_numpy().view(np.uint64), rows.column("c").to_numpy()
-    order = np.argsort(h)
-    return h[order], c[order]
-
-
-def candidate_edges(docs: DataFrame, words: int, percent: int, order: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Star edges (a, b) between nodes whose windows share a shingle. A node is the first half of a signature."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(order)  # at most HOT_SHINGLES * 16 bytes
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=["doc_id", "n", "hi", "lo"])
+
+    return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, hi long, lo long"), "sets")
+
+
+def class_tops(most: int) -> np.ndarray:
+    """The largest sizes of the classes, up to one that holds `most`."""
+    tops = [4]
+    while tops[-1] < most:
+        tops.append(int(tops[-1] * CLASS_RATIO) + 1)
+    return np.asarray(tops, np.int64)
+
+
+def region_keys(s: np.ndarray, percent: int, tops: np.ndarray) -> np.ndarray:
+    """The keys of the regions that a set (sorted distinct hashes) enters."""
+    n = len(s)
+    c = int(np.searchsorted(tops, n))
+    keys = []
+    for tag in (c, c + 1) if n * 100 // percent > tops[c] and c + 1 < len(tops) else (c,):
+        k = int(tops[tag]) * (100 - percent) // percent
+        slots = k + 1 + k // 20
+        slot = ((s >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
+        mark = mix64(np.uint64(tag + 1) * np.uint64(1 << 40) + slot[first].astype(np.uint64))
+        keys.append(mix64(np.add.reduceat(mix64(s), first) ^ mark))
+        if len(first) <= k:
+            empty = np.setdiff1d(np.arange(slots), slot[first])
+            keys.append(mix64(mix64(np.uint64(tag + 1) * np.uint64(1 << 40) + empty.astype(np.uint64)) ^ np.uint64(0x5851F42D4C957F2D)))
+    return np.concatenate(keys)
+
+
+def candidate_edges(docs: DataFrame, words: int, percent: int, shingles: int, most: int) -> DataFrame:
+    """Star edges (a, b) between nodes that share a region. A node is the first half of a signature. Postings (key, node)
+    travel as blocks of bytes in buckets by key; shingles (the corpus's sum of set sizes) gives the number of buckets."""
+    buckets = max(16, -(-shingles // 3 // BUCKET_POSTINGS))
+    tops = class_tops(most)
 
     def run(batches):
         import pyarrow as pa
 
-        hot_hash, hot_count = shared.value
-        maybe = np.zeros(1 << 22, bool)
-        maybe[(hot_hash & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
         keys, nodes, size = [], [], 0
 
         def regions():
-            """Distinct (shingle, node); where several nodes of this block share a shingle, the first stands for all, and
-            the others are tied to it by a key of their own."""
+            """Distinct postings; where several nodes of this block share a region, the first stands for all, and the
+            others are tied to it by a region of their own."""
             k, v = np.concatenate(keys), np.concatenate(nodes)
             at = np.lexsort((v, k))
             k, v = k[at], v[at]
@@ -118,55 +111,57 @@ def candidate_edges(docs: DataFrame, words: int, percent: int, order: tuple[np.n
             first = np.r_[True, k[1:] != k[:-1]]
             head = v[np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))]
             ties = np.unique(np.c_[v[~first], head[~first]], axis=0)
-            tie = (ties[:, 0] * np.int64(-7046029254386353131)) ^ (ties[:, 1] * np.int64(-4417276706812531889))
-            k, v = np.r_[k[first].view(np.int64), tie, tie], np.r_[v[first], ties[:, 0], ties[:, 1]]
-            for a in range(0, len(k), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(k[a : a + (1 << 16)]), pa.array(v[a : a + (1 << 16)])], names=["key", "node"])
+            tie = mix64(ties[:, 0].view(np.uint64) + mix64(np.ascontiguousarray(ties[:, 1]).view(np.uint64))) if len(ties) else np.zeros(0, np.uint64)
+            k, v = np.r_[k[first], tie, tie], np.r_[v[first], ties[:, 0], ties[:, 1]]
+            to = ((k >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            at = np.argsort(to, kind="stable")
+            k, v, to = k[at], v[at], to[at]
+            cuts = np.r_[np.flatnonzero(np.r_[True, to[1:] != to[:-1]]), len(to)].tolist()
+            rows = [(int(to[a]), k[a:b].tobytes() + v[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
+            for a in range(0, len(rows), 64):
+                t, d = zip(*rows[a : a + 64], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(d, pa.binary())], names=["bucket", "postings"])
 
         for batch in chunks(batches, BATCH_BYTES):
             for s in shingle_sets(*utf8(batch.column(0)), words):
-                if not len(s):
-                    continue
-                p = len(s) - int(needed(len(s), percent)) + 1
-                common = np.flatnonzero(maybe[(s & np.uint64((1 << 22) - 1)).astype(np.int64)])
-                window = s[:p]
-                if len(common):
-                    i = np.minimum(np.searchsorted(hot_hash, s[common]), len(hot_hash) - 1)
-                    is_hot = hot_hash[i] == s[common]
-                    if is_hot.any():
-                        cold = np.ones(len(s), bool)
-                        cold[common[is_hot]] = False
-                        window = s[cold][:p]
-                        if len(window) < p:
-                            window = np.r_[window, s[common[is_hot]][np.argsort(hot_count[i[is_hot]], kind="stable")][: p - len(window)]]
-                keys.append(window)
-                nodes.append(np.full(len(window), signature(s)[0], np.int64))
-                size += len(window)
-            if size >= 1 << 20:
+                if len(s):
+                    keys.append(region_keys(s, percent, tops))
+                    nodes.append(np.full(len(keys[-1]), signature(s)[0], np.int64))
+                    size += len(keys[-1])
+            if size >= BLOCK_POSTINGS:
                 yield from regions()
                 keys, nodes, size = [], [], 0
-        if keys:
+        if size:
             yield from regions()
 
     def stars(batches):
         import pyarrow as pa
 
-        key = head = None
+        bucket, held = None, []
+
+        def done():
+            k = np.concatenate([np.frombuffer(d[: len(d) // 2], np.uint64) for d in held])
+            v = np.concatenate([np.frombuffer(d[len(d) // 2 :], np.int64) for d in held])
+            at = np.lexsort((v, k))
+            k, v = k[at], v[at]
+            first = np.r_[True, k[1:] != k[:-1]]
+            head = v[np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))]
+            e = np.unique(np.c_[v, head][head != v], axis=0)
+            for a in range(0, len(e), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(e[a : a + (1 << 16), 0]), pa.array(e[a : a + (1 << 16), 1])], names=["a", "b"])
+
         for batch in batches:
-            k, v = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            if not len(k):
-                continue
-            first = np.r_[k[0] != key if key is not None else True, k[1:] != k[:-1]]
-            at = np.maximum.accumulate(np.where(first, np.arange(len(k)), -1))
-            heads = np.where(at >= 0, v[np.maximum(at, 0)], head if head is not None else 0)
-            key, head = k[-1], heads[-1]
-            differ = heads != v
-            if differ.any():
-                e = np.unique(np.c_[v[differ], heads[differ]], axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["a", "b"])
+            for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if b != bucket and held:
+                    yield from done()
+                    held = []
+                bucket = b
+                held.append(data)
+        if held:
+            yield from done()
 
-    posted = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "key long, node long")
-    return posted.repartition("key").sortWithinPartitions("key", "node").mapInArrow(stars, "a long, b long")
+    posted = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "bucket int, postings binary")
+    return posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stars, "a long, b long")
 
 
 class Region:
@@ -376,12 +371,12 @@ def large_links(sets: DataFrame, percent: int) -> DataFrame:
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     spark = docs.sparkSession
-    found = survey(docs, words)
-    every = found.where("kind = 0").drop("kind")
+    every = survey(docs, words)
     named = every.where("n > 0 AND doc_id IS NOT NULL")
     nodes = named.groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     nodes = written(nodes, "nodes")
-    merged = components(candidate_edges(docs, words, percent, hot(found)))
+    totals = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    merged = components(candidate_edges(docs, words, percent, *totals))
     inside = nodes.join(merged, F.col("hi") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n")
     inside = written(inside, "inside")
     sizes = inside.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
