@@ -61,11 +61,11 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     return out
 
 
-def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of keep, lang_pred and score; with min_margin, texts whose margin is narrower become `und`."""
+def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float | None = None, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """The columns of keep (and the text), lang_pred and score; with min_margin, texts whose margin is narrower become `und`."""
     tune(docs.sparkSession)
     schema = docs.select(*keep).schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", lang_pred string, score double"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", text string" * with_text + ", lang_pred string, score double"
 
     def run(batches):
         import pyarrow as pa
@@ -90,8 +90,8 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
                 margin = min(1.0, (second - best) / second)
                 preds.append(UNKNOWN if min_margin is not None and margin < min_margin else langs[sizes.index(best)])
                 scores.append(margin)
-            kept = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+            kept = [batch.column(i) for i in range(len(keep) + with_text)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[*keep, *["text"] * with_text, "lang_pred", "score"])
 
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, fields)
 

@@ -40,9 +40,9 @@ def targets(sized_docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most:
     per = per.withColumn("before", F.sum(F.col("source_size") * F.lit(most)).over(upto) - F.col("source_size") * F.lit(most))
     per = per.withColumn("left_w", F.sum("w").over(everything) - F.sum("w").over(upto) + F.col("w"))
     per = per.withColumn("level", (F.col("total") - F.col("before")) / F.col("left_w"))
-    level = F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything)
-    per = per.withColumn("level", level)
-    return per.select("source", "source_size", "docs", "mean_weight", F.least(F.col("source_size") * F.lit(most), F.coalesce(F.col("level") * F.col("w"), F.col("source_size") * F.lit(most))).cast("double").alias("target"))
+    # While a source is at its limit the level rises with the next one; from there on it doesn't.
+    per = per.withColumn("level", F.max("level").over(everything))
+    return per.select("source", "source_size", "docs", "mean_weight", F.least(F.col("source_size") * F.lit(most), F.col("level") * F.col("w")).cast("double").alias("target"))
 
 
 def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, seed: str = "mix", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -95,9 +95,9 @@ WITH base AS (
          sum(w) OVER () - sum(w) OVER o + w AS left_w
   FROM named WINDOW o AS (ORDER BY source_size * 2.0::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ), leveled AS (
-  SELECT *, min(CASE WHEN (total - before) / left_w <= ratio THEN (total - before) / left_w END) OVER () AS level FROM ranked
+  SELECT *, max((total - before) / left_w) OVER () AS level FROM ranked
 ), target AS (
-  SELECT source, source_size, least(source_size * 2.0::DOUBLE, COALESCE(level * w, source_size * 2.0::DOUBLE)) AS target FROM leveled
+  SELECT source, source_size, least(source_size * 2.0::DOUBLE, level * w) AS target FROM leveled
 ), parts AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM target
 ), drawn AS (

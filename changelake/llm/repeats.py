@@ -386,8 +386,23 @@ def covers(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return written(placed.mapInArrow(join_up, "tkey long, tlen int, spans binary"), "covers")
 
 
-def cut(docs: DataFrame, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep, n_bytes, n_removed, n_spans and kept (the bytes that stay) of every document."""
+def whole_characters(data: bytes, pairs: list[list[int]]) -> list[list[int]]:
+    """Spans widened to whole characters, so that what stays is UTF-8."""
+    out: list[list[int]] = []
+    for a, b in pairs:
+        while a and data[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(data) and data[b] & 0xC0 == 0x80:
+            b += 1
+        if out and a <= out[-1][1]:
+            out[-1][1] = b
+        else:
+            out.append([a, b])
+    return out
+
+
+def cut(docs: DataFrame, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",), characters: bool = False) -> DataFrame:
+    """keep, n_bytes, n_removed, n_spans and kept (the bytes that stay; whole characters, if so wanted) of every document."""
     found = covers(docs, least)
     texts = keyed(docs, *[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)])
     rows = texts.join(sized(found, 96), ["tkey", "tlen"], "left").select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], F.col("spans").alias("__spans"), F.col("text").alias("__text"))
@@ -402,6 +417,7 @@ def cut(docs: DataFrame, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)
             for i, sp in enumerate(batch.column(batch.num_columns - 2).to_pylist()):
                 data = raw[at[i] : at[i + 1]].tobytes()
                 pairs = np.frombuffer(sp, "<i4").reshape(-1, 2).tolist() if sp else []
+                pairs = whole_characters(data, pairs) if characters else pairs
                 kept = data if not pairs else b"".join(data[a:b] for a, b in zip([0, *(p[1] for p in pairs)], [*(p[0] for p in pairs), len(data)], strict=True))
                 for c, v in zip(cols, (len(data), len(data) - len(kept), len(pairs), kept), strict=True):
                     c.append(v)
