@@ -11,11 +11,12 @@ most t. The join works by regions that get smaller, each exact:
    more than k slots; d is the sum over slots, so similar sets agree in some slot that isn't empty. Each set enters the
    region of each of its slots' contents; sets with so many empty slots that this proves nothing enter the regions of
    their empty slots, too.
-3. Regions that share sets are merged (connected components of the candidate graph); each merged region is small unless
-   the corpus has huge families of near copies. Sets are fetched once, for nodes that share a region only.
-4. A region beyond REGION_NODES or REGION_SHINGLES is split by document pivots into Voronoi cells: a set goes to the cell
-   of its nearest pivot and to every cell whose pivot is within 2 t of that; sets that share nothing with any pivot form
-   a cell by size classes. This recurs; what no pivot splits is joined block by block.
+3. Regions that share sets are merged (connected components of the candidate graph). Where that makes a region larger
+   than REGION_NODES sets or REGION_SHINGLES shingles, its sets are sent again with a parity sketch: each shingle flips one
+   bit, so two sketches differ in at most d bits. Pairs that meet in a region and pass the bound are the edges now.
+4. A merged region that is still too large is split by document pivots into Voronoi cells: a set goes to the cell of its
+   nearest pivot and to every cell whose pivot is within 2 t of that; sets that share nothing with any pivot form cells by
+   size. This recurs; what no pivot splits is joined block by block. Sets are fetched for nodes that share a region only.
 5. Within a region, sets in order of size meet those in their size window that share a shingle of their prefix, lie
    within t of them by every pivot seen so far, and aren't in their component yet; those are compared exactly.
 
@@ -71,8 +72,8 @@ def class_tops(most: int) -> np.ndarray:
     return np.asarray(tops, np.int64)
 
 
-def region_keys(s: np.ndarray, percent: int, tops: np.ndarray) -> np.ndarray:
-    """The keys of the regions that a set (sorted distinct hashes) enters."""
+def region_keys(s: np.ndarray, percent: int, tops: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    """For each size class that a set (sorted distinct hashes) enters: the class, its k, and the keys of its regions."""
     n = len(s)
     c = int(np.searchsorted(tops, n))
     keys = []
@@ -82,11 +83,12 @@ def region_keys(s: np.ndarray, percent: int, tops: np.ndarray) -> np.ndarray:
         slot = ((s >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
         mark = mix64(np.uint64(tag + 1) * np.uint64(1 << 40) + slot[first].astype(np.uint64))
-        keys.append(mix64(np.add.reduceat(mix64(s), first) ^ mark))
+        own = mix64(np.add.reduceat(mix64(s), first) ^ mark)
         if len(first) <= k:
             empty = np.setdiff1d(np.arange(slots), slot[first])
-            keys.append(mix64(mix64(np.uint64(tag + 1) * np.uint64(1 << 40) + empty.astype(np.uint64)) ^ np.uint64(0x5851F42D4C957F2D)))
-    return np.concatenate(keys)
+            own = np.r_[own, mix64(mix64(np.uint64(tag + 1) * np.uint64(1 << 40) + empty.astype(np.uint64)) ^ np.uint64(0x5851F42D4C957F2D))]
+        keys.append((tag, k, own))
+    return keys
 
 
 def candidate_edges(docs: DataFrame, words: int, percent: int, shingles: int, most: int) -> DataFrame:
@@ -125,7 +127,7 @@ def candidate_edges(docs: DataFrame, words: int, percent: int, shingles: int, mo
         for batch in chunks(batches, BATCH_BYTES):
             for s in shingle_sets(*utf8(batch.column(0)), words):
                 if len(s):
-                    keys.append(region_keys(s, percent, tops))
+                    keys.append(np.concatenate([own for _, _, own in region_keys(s, percent, tops)]))
                     nodes.append(np.full(len(keys[-1]), signature(s)[0], np.int64))
                     size += len(keys[-1])
             if size >= BLOCK_POSTINGS:
@@ -164,6 +166,136 @@ def candidate_edges(docs: DataFrame, words: int, percent: int, shingles: int, mo
     return posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stars, "a long, b long")
 
 
+def sketch(s: np.ndarray, bits: int) -> np.ndarray:
+    """The parity of how many shingles hash to each bit."""
+    place = (mix64(s + np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+
+
+def near_pairs(k: np.ndarray, v: np.ndarray, n: np.ndarray, sketches: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of indexes v that meet under a key k and may be similar by size and sketch; of groups over 64 members, enough
+    pairs to connect what such pairs connect."""
+    order = np.lexsort((v, k))
+    k, v = k[order], v[order]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    size = np.diff(np.r_[first, len(k)])
+    first, size = first[size > 1], size[size > 1]
+    if not len(first):
+        return np.zeros((0, 2), np.int64)
+    # Near copies meet under many keys: groups of the same members count once.
+    whole = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(whole)) - np.repeat(np.cumsum(size) - size, size) + first[whole]
+    members = v[at]
+    mark = np.add.reduceat(mix64(members.astype(np.uint64) + np.uint64(1)), np.cumsum(size) - size)
+    _, one = np.unique(mark, return_index=True)
+    first, size = first[one], size[one]
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+        fits = 100 * least >= percent * most
+        out = np.zeros(len(a), bool)
+        for i in range(0, len(a), 1 << 16):
+            j = slice(i, i + (1 << 16))
+            out[j] = np.bitwise_count(sketches[a[j]] ^ sketches[b[j]]).sum(1, dtype=np.int64) <= least[j] * (100 - percent) // percent
+        return out & fits
+
+    found = []
+    few = size <= 64
+    for step in range(1, 64):
+        starts, sizes = first[few & (size > step)], size[few & (size > step)]
+        if not len(starts):
+            break
+        i = np.repeat(starts - (np.cumsum(sizes - step) - (sizes - step)), sizes - step) + np.arange(int((sizes - step).sum()))
+        found.append(np.unique(v[i] * len(n) + v[i + step]))
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    a, b = pairs // max(1, len(n)), pairs % max(1, len(n))
+    keep = near(a, b)
+    out = [np.c_[a[keep], b[keep]]]
+    for f, m in zip(first[~few].tolist(), size[~few].tolist(), strict=True):
+        group = v[f : f + m]
+        group = group[np.argsort(n[group], kind="stable")]
+        label, reach = np.arange(m), np.searchsorted(n[group], n[group] * 100 // percent, "right")
+        for x in range(m):
+            ys = x + 1 + np.flatnonzero(label[x + 1 : reach[x]] != label[x])
+            ys = ys[near(np.full(len(ys), group[x]), group[ys])] if len(ys) else ys
+            if len(ys):
+                out.append(np.c_[np.full(len(ys), group[x]), group[ys]])
+                old = np.unique(np.r_[label[ys], label[x]])
+                label[np.isin(label, old)] = old[0]
+    return np.concatenate(out)
+
+
+def refined_edges(texts: DataFrame, words: int, percent: int, shingles: int, most: int) -> DataFrame:
+    """Edges (a, b) between reps that meet in a region and pass the sketch's bound, from texts (rep, hi, lo, text)."""
+    buckets = max(12, -(-shingles // 3 // BUCKET_POSTINGS))
+    tops = class_tops(most)
+
+    def run(batches):
+        import pyarrow as pa
+
+        by_tag: dict[int, list] = {}
+        size = 0
+
+        def flush():
+            for tag, rows in by_tag.items():
+                reps, ns = np.asarray([r[0] for r in rows], "<i8"), np.asarray([r[1] for r in rows], "<i8")
+                keys = np.concatenate([r[2] for r in rows])
+                at = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+                marks = np.stack([r[3] for r in rows])
+                to = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                for b in np.unique(to).tolist():
+                    mine = to == b
+                    here, index = np.unique(at[mine], return_inverse=True)
+                    cols = (keys[mine].tobytes(), index.astype("<i4").tobytes(), reps[here].tobytes(), ns[here].tobytes(), marks[here].tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([tag], pa.int32()), *(pa.array([c], pa.binary()) for c in cols)], names=["bucket", "tag", "keys", "at", "reps", "ns", "sketches"])
+
+        for batch in chunks(batches, BATCH_BYTES):
+            reps, hi, lo = (batch.column(i).to_pylist() for i in range(3))
+            for i, s in enumerate(shingle_sets(*utf8(batch.column(3)), words)):
+                if signature(s) != (hi[i], lo[i]):
+                    continue
+                for tag, k, keys in region_keys(s, percent, tops):
+                    bits = 512
+                    while bits < 2 * k:
+                        bits *= 2
+                    by_tag.setdefault(tag, []).append((reps[i], len(s), keys, sketch(s, bits)))
+                    size += len(keys)
+            if size >= BLOCK_POSTINGS:
+                yield from flush()
+                by_tag.clear()
+                size = 0
+        yield from flush()
+
+    def pairs(batches):
+        import pyarrow as pa
+
+        key, held = None, []
+
+        def done():
+            base = np.cumsum([0, *(len(h[2]) // 8 for h in held)])
+            k = np.concatenate([np.frombuffer(h[0], np.uint64) for h in held])
+            v = np.concatenate([np.frombuffer(h[1], "<i4") + b for h, b in zip(held, base, strict=False)]).astype(np.int64)
+            reps = np.concatenate([np.frombuffer(h[2], "<i8") for h in held])
+            n = np.concatenate([np.frombuffer(h[3], "<i8") for h in held])
+            marks = np.concatenate([np.frombuffer(h[4], np.uint64).reshape(len(h[2]) // 8, -1) for h in held])
+            e = near_pairs(k, v, n, marks, percent)
+            for a in range(0, len(e), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(reps[e[a : a + (1 << 16), 0]]), pa.array(reps[e[a : a + (1 << 16), 1]])], names=["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:2] != key and held:
+                    yield from done()
+                    held = []
+                key = row[:2]
+                held.append(row[2:])
+        if held:
+            yield from done()
+
+    posted = texts.mapInArrow(run, "bucket int, tag int, keys binary, at binary, reps binary, ns binary, sketches binary")
+    return posted.repartition("bucket", "tag").sortWithinPartitions("bucket", "tag").mapInArrow(pairs, "a long, b long")
+
+
 class Region:
     """Sets of one region, compared exactly. sets: sorted distinct hashes of each."""
 
@@ -344,10 +476,9 @@ def blocked(sets: DataFrame, sizes: DataFrame) -> DataFrame:
 def large_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links within regions too large for one task, by Voronoi cells, recursively."""
     spark, found, parent = sets.sparkSession, [], None
-    sets = sets.select(F.col("region").cast("string").alias("region"), "rep", "n", "shingles")
     small = (F.col("m") <= REGION_NODES) & (F.col("total") <= REGION_SHINGLES)
     for _ in range(MOST_SPLITS):
-        cells = written(split(sets, percent).distinct(), "cells")
+        cells = written(split(sets, percent), "cells")
         sizes = written(cells.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")), "sizes")
         found.append(solve(cells.join(sized(sizes.where(small), 64), "region").select("region", "rep", "n", "shingles"), percent))
         rest = sizes.where(~small)
@@ -378,18 +509,19 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     totals = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     merged = components(candidate_edges(docs, words, percent, *totals))
     inside = nodes.join(merged, F.col("hi") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n")
-    inside = written(inside, "inside")
-    sizes = inside.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
-    sizes = written(sizes, "regions")
-    small = (F.col("m") <= REGION_NODES) & (F.col("total") <= REGION_SHINGLES)
-    wanted = inside.join(sized(sizes, 32), "region").select("region", "rep", "hi", "lo", "n", small.alias("small"))
-    wanted = written(wanted, "wanted")
-    sets = fetch(docs, wanted, words)
-    near = solve(sets.where("small"), percent)
-    if wanted.where("NOT small").isEmpty():
-        edges = near
-    else:
-        edges = near.unionByName(large_links(written(sets.where("NOT small").drop("small"), "large"), percent))
+    wanted, large = regions(written(inside, "inside"))
+    if large is not None:
+        # Merged regions that grew too large: once more, with the sketches' bound on every pair that meets.
+        sums = large.agg(F.sum("n"), F.max("n")).first()
+        texts = docs.select("doc_id", "text").join(sized(large, 48), F.col("doc_id") == F.col("rep")).select("rep", "hi", "lo", "text")
+        finer = components(refined_edges(texts, words, percent, *sums))
+        finer = large.join(finer, F.col("rep") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n")
+        finer, large = regions(written(finer, "finer"))
+        # Reps stand for regions of either round; the sign keeps them apart.
+        wanted = wanted.unionByName(finer.withColumn("region", F.struct(F.lit(1).alias("round"), F.col("region.region").alias("region"))))
+    edges = solve(fetch(docs, written(wanted, "wanted"), words), percent)
+    if large is not None:
+        edges = edges.unionByName(large_links(written(fetch(docs, large, words), "large"), percent))
     # A doc_id that has several texts ties their components.
     several = named.select("doc_id", "hi", "lo", "n").distinct().groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
     extra = named.join(sized(several, 32), "doc_id").join(nodes, ["hi", "lo", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -402,22 +534,32 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def regions(inside: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Of (region, rep, hi, lo, n), regions with several nodes: those small enough for one task, and the others, if any."""
+    sizes = inside.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
+    sizes = written(sizes, "regions")
+    small = (F.col("m") <= REGION_NODES) & (F.col("total") <= REGION_SHINGLES)
+    pick = lambda rows: inside.join(sized(rows.select("region"), 16), "region", "left_semi").select(F.struct(F.lit(0).alias("round"), F.col("region")).alias("region"), "rep", "hi", "lo", "n")
+    large = sizes.where(~small)
+    return pick(sizes.where(small)), None if large.isEmpty() else written(pick(large), "oversize")
+
+
 def fetch(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """region, rep, n, shingles, small of the nodes wanted, from the text of the document that stands for each."""
-    texts = docs.select("doc_id", "text").join(sized(wanted, 64), F.col("doc_id") == F.col("rep")).select("region", "rep", "hi", "lo", "n", "small", "text")
+    """region, rep, n, shingles of the nodes wanted, from the text of the document that stands for each."""
+    texts = docs.select("doc_id", "text").join(sized(wanted, 64), F.col("doc_id") == F.col("rep")).select(F.col("region").cast("string").alias("region"), "rep", "hi", "lo", "n", "text")
 
     def run(batches):
         import pyarrow as pa
 
         for batch in chunks(batches, BATCH_BYTES):
-            sets = shingle_sets(*utf8(batch.column(6)), words)
+            sets = shingle_sets(*utf8(batch.column(5)), words)
             hi, lo = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             # The doc_id may have other texts, too.
             mine = pa.array([i for i, s in enumerate(sets) if signature(s) == (hi[i], lo[i])], pa.int64())
             part = batch.take(mine)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(4), pa.array([sets[i].tobytes() for i in mine.to_pylist()], pa.binary()), part.column(5)], names=["region", "rep", "n", "shingles", "small"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(4), pa.array([sets[i].tobytes() for i in mine.to_pylist()], pa.binary())], names=["region", "rep", "n", "shingles"])
 
-    return texts.mapInArrow(run, "region long, rep long, n long, shingles binary, small boolean")
+    return texts.mapInArrow(run, "region string, rep long, n long, shingles binary")
 
 
 def op2_jaccard_components(spark, sf_dir: str) -> DataFrame:
