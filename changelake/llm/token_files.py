@@ -33,7 +33,8 @@ SEGMENT_IDS = 1 << 19
 END_ID = 2
 MAGIC = b"RANSSEG1"
 HEAD = struct.Struct("<8s5I")
-LOW = np.uint64(1 << 16)
+LOW = np.uint32(1 << 16)
+HALF = np.uint32(16)
 
 
 class Damaged(ValueError):
@@ -69,18 +70,20 @@ def encode_segment(doc_ids: list, ids: list[bytes]) -> bytes:
     full = np.full(blocks * per, np.argmax(freq), np.int64)
     full[: len(flat)] = code
     grid = full.reshape(blocks, STEPS, LANES)
-    f_all, c_all = freq.astype(np.uint64), start.astype(np.uint64)
-    state = np.full((blocks, LANES), LOW, np.uint64)
+    f_all, c_all = freq.astype(np.uint32), start.astype(np.uint32)
+    state = np.full((blocks, LANES), LOW, np.uint32)
     words = np.empty((STEPS, blocks, LANES), np.uint16)
     emitted = np.empty((STEPS, blocks, LANES), bool)
     for t in range(STEPS - 1, -1, -1):
-        f, c = f_all[grid[:, t]], c_all[grid[:, t]]
-        over = state >= f << np.uint64(16)
-        words[t] = state & np.uint64(0xFFFF)
+        symbol = grid[:, t]
+        f, c = f_all[symbol], c_all[symbol]
+        high = state >> HALF
+        over = high >= f
+        words[t] = state  # its low 16 bits
         emitted[t] = over
-        state = np.where(over, state >> np.uint64(16), state)
+        state = np.where(over, high, state)
         q = state // f
-        state = (q << np.uint64(BITS)) + (state - q * f) + c
+        state = (q << HALF) + (state - q * f) + c
     stream = words.transpose(1, 0, 2)[emitted.transpose(1, 0, 2)].astype("<u2")
     used = emitted.sum(axis=(0, 2))
     first = (np.cumsum(used) - used).astype("<u4")
@@ -117,22 +120,21 @@ class Segment:
     def decode(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
         """The ids of blocks lo to hi, each checked against its checksum."""
         hi = self.blocks if hi is None else hi
-        freq = self.freq.astype(np.uint64)
-        start = np.cumsum(freq) - freq
-        slot = np.repeat(np.arange(len(freq), dtype=np.int32), self.freq)
-        by_slot = np.arange(1 << BITS, dtype=np.uint64) - np.repeat(start, self.freq)
-        f_slot = np.repeat(freq, self.freq)
-        state = self.states[lo:hi].astype(np.uint64)
+        start = np.cumsum(self.freq) - self.freq
+        slot = np.repeat(np.arange(len(self.freq), dtype=np.int32), self.freq)
+        by_slot = (np.arange(1 << BITS) - np.repeat(start, self.freq)).astype(np.uint32)
+        f_slot = np.repeat(self.freq, self.freq).astype(np.uint32)
+        state = self.states[lo:hi].astype(np.uint32)
         at = self.first[lo:hi].astype(np.int64)[:, None]
-        stream = np.concatenate([self.stream, np.zeros(LANES, "<u2")]).astype(np.uint64)
+        stream = np.concatenate([self.stream, np.zeros(LANES, "<u2")]).astype(np.uint32)
         out = np.empty((hi - lo, STEPS, LANES), np.int32)
         for t in range(STEPS):
-            low = (state & np.uint64(0xFFFF)).astype(np.int64)
+            low = state & np.uint32(0xFFFF)
             out[:, t] = slot[low]
-            state = f_slot[low] * (state >> np.uint64(BITS)) + by_slot[low]
+            state = f_slot[low] * (state >> HALF) + by_slot[low]
             short = state < LOW
             nth = np.cumsum(short, axis=1)
-            state = np.where(short, state << np.uint64(16) | stream[np.minimum(at + nth - 1, len(stream) - 1)], state)
+            state = np.where(short, state << HALF | stream[np.minimum(at + nth - 1, len(stream) - 1)], state)
             at = at + nth[:, -1:]
         ids = self.symbols[out.reshape(hi - lo, -1)].astype("<u4")
         per = LANES * STEPS

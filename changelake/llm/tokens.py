@@ -11,7 +11,7 @@ import os
 import re
 from array import array
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 WORD_BYTES = 40
 #: A full stop or comma between a letter and white space is a piece of its own.
 STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
