@@ -38,10 +38,10 @@ from .shingles import shingle_sets, signature
 WORDS, PERCENT = 4, 85
 #: Size classes grow by this ratio; postings of one block, and of one bucket of the shuffle (16 bytes each).
 CLASS_RATIO = 1.5
-BLOCK_POSTINGS, BUCKET_POSTINGS = 1 << 20, 1 << 21
+BLOCK_POSTINGS, BUCKET_POSTINGS = 1 << 19, 1 << 20
 REGION_NODES, REGION_SHINGLES = 16_384, 3_000_000
 PIVOTS, MOST_SPLITS = 16, 5
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 
 def needed(n, percent: int):
