@@ -8,13 +8,10 @@ look-up. Words over WORD_BYTES, and new ones once CACHE_WORDS are kept, are enco
 from __future__ import annotations
 
 import os
-import re
 from array import array
 
-CACHE_WORDS = 700_000
+CACHE_WORDS = 800_000
 WORD_BYTES = 40
-#: A full stop or comma between a letter and white space is a piece of its own.
-STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
 SPECIAL = b"<|"
 _encoders: dict[str, "Encoder"] = {}
 
@@ -26,9 +23,9 @@ def default_path() -> str:
 
 
 def pieces(text: bytes) -> list[bytes]:
-    """Words that encode independently. Lower-casing ASCII and splitting off stops changes no id, but meets the cache more
-    often; a text that may hold a special token's string is only split at white space."""
-    return text.split() if SPECIAL in text else STOP.sub(rb" \1", text.lower()).split()
+    """Words that encode independently. Lower-casing ASCII changes no id, but meets the cache more often; a text that may
+    hold a special token's string stays as it is."""
+    return text.split() if SPECIAL in text else text.lower().split()
 
 
 class Encoder(dict):
@@ -42,7 +39,11 @@ class Encoder(dict):
         self.ids_of = Tokenizer.from_file(path).encode
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = array("I", self.ids_of(piece.decode("utf-8", "replace"), None, False, False).ids).tobytes()
+        if piece[-1] in b".," and len(piece) > 1 and 97 <= piece[-2] <= 122:
+            # A full stop or comma between a letter and white space is a token of its own.
+            ids = self[piece[:-1]] + self[piece[-1:]]
+        else:
+            ids = array("I", self.ids_of(piece.decode("utf-8", "replace"), None, False, False).ids).tobytes()
         if len(piece) <= WORD_BYTES and len(self) < CACHE_WORDS:
             self[piece] = ids
         return ids
