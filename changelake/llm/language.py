@@ -1,8 +1,8 @@
 """Language identification by compression: a text belongs to the language whose raw-content dictionary shrinks it most.
 
 For each language of the learnable rows a bounded sample (SAMPLE_DOCS documents, DICT_BYTES bytes) becomes a zstandard
-raw-content dictionary. Every whole text is compressed with each dictionary; the smallest wins, ties go to the first
-language by code point. The score is the winner's margin over the next language; classify() rejects margins under
+raw-content dictionary. Every whole text is compressed with each dictionary; the smallest wins, ties go to the language
+with more learnable documents. The score is the winner's margin over the next language; classify() rejects margins under
 min_margin.
 
 Defined results: null text, empty text and text without a letter are `und` with score 0; a table without learnable
@@ -21,7 +21,8 @@ from .common import documents, tune
 
 SAMPLE_DOCS = 160
 DICT_BYTES = 96 << 10
-LEVEL = 3
+#: Matches of 4 bytes count, which short words need; the window holds a dictionary and a long text.
+MIN_MATCH, WINDOW_LOG, TABLE_LOG, SEARCH_LOG = 4, 18, 17, 3
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
@@ -38,7 +39,7 @@ def held_out(part: int = 1, of: int = 3):
 
 def learn(labelled: DataFrame) -> dict[str, bytes]:
     """Dictionaries by language, from at most SAMPLE_DOCS documents each. A language's documents are thinned by a hash of
-    their ids, never by position, and only the thinned ones are sorted."""
+    their ids, never by position, and only the thinned ones are sorted. The commonest language comes first."""
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     step = F.greatest(F.lit(1), F.floor(F.col("n") / (2 * SAMPLE_DOCS))).cast("long")
     order = F.xxhash64(F.col("doc_id"))
@@ -47,10 +48,11 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     thin = thin.select("lang", F.struct((F.octet_length("text") > 8192).alias("late"), order.alias("o"), "doc_id", "text").alias("d"))
     best = thin.groupBy("lang", F.pmod(F.xxhash64("d.doc_id"), F.lit(8)).alias("s")).agg(F.slice(F.array_sort(F.collect_list("d")), 1, SAMPLE_DOCS // 8).alias("ds"))
     found: dict[str, list] = {}
+    often = {r.lang: r.n for r in counts.collect()}
     for r in best.select("lang", F.explode("ds").alias("d")).select("lang", "d.late", "d.o", "d.text").collect():
         found.setdefault(r.lang, []).append((r.late, r.o, r.text))
     out = {}
-    for lang, docs in sorted(found.items()):
+    for lang, docs in sorted(found.items(), key=lambda f: (-often[f[0]], f[0])):
         data, parts = 0, []
         for _, _, text in sorted(docs, key=lambda d: d[:2]):
             if data >= DICT_BYTES:
@@ -71,11 +73,12 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
         import pyarrow as pa
         import zstandard as z
 
-        langs, packers = sorted(dictionaries), []
+        langs, packers = list(dictionaries), []
+        params = z.ZstdCompressionParameters(strategy=z.STRATEGY_LAZY, min_match=MIN_MATCH, window_log=WINDOW_LOG, hash_log=TABLE_LOG, chain_log=TABLE_LOG, search_log=SEARCH_LOG, write_checksum=False, write_content_size=False, write_dict_id=False)
         for lang in langs:
             d = z.ZstdCompressionDict(dictionaries[lang], dict_type=z.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            packers.append(z.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False))
+            d.precompute_compress(compression_params=params)
+            packers.append(z.ZstdCompressor(dict_data=d, compression_params=params))
         for batch in batches:
             preds, scores = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():

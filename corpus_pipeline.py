@@ -16,7 +16,7 @@ from changelake.llm.common import documents, sized, written
 #: Near duplicates: shingles of five words, similarity 0.8. Passages of 50 words and more are about 240 bytes.
 WORDS, PERCENT, REPEAT_BYTES = 5, 80, 240
 #: A document is rejected if no language beats the next by this part of its compressed size.
-MIN_MARGIN = 0.001
+MIN_MARGIN = 0.005
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
