@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, tune, utf8, written
+from .common import chunks, documents, lean, tune, utf8, written
 
 BLOCK, RATE, LPC_ORDER, LPC_BITS, LPC_SHIFT = 1024, 8000, 4, 12, 9
 BATCH_BYTES = 1 << 20
@@ -447,7 +447,7 @@ def media(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
             kept = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(at)), pa.array(streams, pa.binary())], names=[*keep, "n_bytes", "media"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{fields}, n_bytes long, media binary")
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run), f"{fields}, n_bytes long, media binary")
 
 
 def feature(pcm: np.ndarray) -> str:
@@ -480,7 +480,7 @@ def digests(table: DataFrame, keep: tuple[str, ...] = ("doc_id", "n_bytes")) ->
             ]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *cols], names=[*keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    return table.select(*keep, "media").mapInArrow(run, f"{fields}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return table.select(*keep, "media").mapInArrow(lean(run), f"{fields}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def pcm_blocks(table: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -505,7 +505,7 @@ def pcm_blocks(table: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
             kept = [batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(block, pa.int32()), pa.array(offset, pa.int64()), pa.array([len(x) for x in pcm], pa.int32()), pa.array(pcm, pa.binary())], names=[*keep, "block", "sample_offset", "samples", "pcm"])
 
-    return table.select(*keep, "media").mapInArrow(run, f"{fields}, block int, sample_offset long, samples int, pcm binary")
+    return table.select(*keep, "media").mapInArrow(lean(run), f"{fields}, block int, sample_offset long, samples int, pcm binary")
 
 
 def op9_flac_media(spark, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, mix64, sized, tune, utf8, written
+from .common import chunks, documents, lean, mix64, sized, tune, utf8, written
 from .graphs import components
 from .shingles import shingle_sets, signature
 
@@ -39,7 +39,7 @@ WORDS, PERCENT = 4, 85
 #: Size classes grow by this ratio; postings of one block, and of one bucket of the shuffle (16 bytes each).
 CLASS_RATIO = 1.5
 BLOCK_POSTINGS, BUCKET_POSTINGS = 1 << 19, 1 << 20
-REGION_NODES, REGION_SHINGLES = 16_384, 3_000_000
+REGION_NODES, REGION_SHINGLES = 16_384, 2_000_000
 PIVOTS, MOST_SPLITS = 16, 5
 BATCH_BYTES = 1 << 20
 
@@ -61,7 +61,7 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
             hi, lo = zip(*map(signature, sets), strict=True)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=["doc_id", "n", "hi", "lo"])
 
-    return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, hi long, lo long"), "sets")
+    return written(docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n long, hi long, lo long"), "sets")
 
 
 def class_tops(most: int) -> np.ndarray:
@@ -162,8 +162,8 @@ def candidate_edges(docs: DataFrame, words: int, percent: int, shingles: int, mo
         if held:
             yield from done()
 
-    posted = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "bucket int, postings binary")
-    return posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stars, "a long, b long")
+    posted = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(lean(run), "bucket int, postings binary")
+    return posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(stars), "a long, b long")
 
 
 def sketch(s: np.ndarray, bits: int) -> np.ndarray:
@@ -292,8 +292,8 @@ def refined_edges(texts: DataFrame, words: int, percent: int, shingles: int, mos
         if held:
             yield from done()
 
-    posted = texts.mapInArrow(run, "bucket int, tag int, keys binary, at binary, reps binary, ns binary, sketches binary")
-    return posted.repartition("bucket", "tag").sortWithinPartitions("bucket", "tag").mapInArrow(pairs, "a long, b long")
+    posted = texts.mapInArrow(lean(run), "bucket int, tag int, keys binary, at binary, reps binary, ns binary, sketches binary")
+    return posted.repartition("bucket", "tag").sortWithinPartitions("bucket", "tag").mapInArrow(lean(pairs), "a long, b long")
 
 
 class Region:
@@ -408,7 +408,7 @@ def solve(sets: DataFrame, percent: int) -> DataFrame:
             yield batch_of(out)
 
     placed = sets.select("region", "rep", "shingles").repartition("region").sortWithinPartitions("region")
-    return placed.mapInArrow(run, "a long, b long")
+    return placed.mapInArrow(lean(run), "a long, b long")
 
 
 def distances(sets: list[np.ndarray], pivots: list[np.ndarray]) -> np.ndarray:
@@ -461,7 +461,7 @@ def split(sets: DataFrame, percent: int) -> DataFrame:
                 cols = list(zip(*out[a : a + 500], strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())], names=["region", "rep", "n", "shingles"])
 
-    return rows.mapInArrow(run, "region string, rep long, n long, shingles binary")
+    return rows.mapInArrow(lean(run), "region string, rep long, n long, shingles binary")
 
 
 def blocked(sets: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -559,7 +559,7 @@ def fetch(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             part = batch.take(mine)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(4), pa.array([sets[i].tobytes() for i in mine.to_pylist()], pa.binary())], names=["region", "rep", "n", "shingles"])
 
-    return texts.mapInArrow(run, "region string, rep long, n long, shingles binary")
+    return texts.mapInArrow(lean(run), "region string, rep long, n long, shingles binary")
 
 
 def op2_jaccard_components(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tune
+from .common import lean, tune
 
 K, SCALE = 5, 256.0
 #: Pivots: one for so many queries, within these limits; queries of a block; data rows of a unit.
@@ -92,7 +92,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
                 norm = max(norm, float((x * x).sum(1).max()))
         yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in (n, queries, width)), *(pa.array([v], pa.float64()) for v in (norm, most))], names=["n", "queries", "width", "norm", "most"])
 
-    s = base.mapInArrow(survey, "n long, queries long, width long, norm double, most double").agg(F.sum("n").alias("n"), F.sum("queries").alias("queries"), F.max("width").alias("width"), F.max("norm").alias("norm"), F.max("most").alias("most")).first()
+    s = base.mapInArrow(lean(survey), "n long, queries long, width long, norm double, most double").agg(F.sum("n").alias("n"), F.sum("queries").alias("queries"), F.max("width").alias("width"), F.max("norm").alias("norm"), F.max("most").alias("most")).first()
     if not s.n or not s.queries:
         return empty
     exact = s.width * (s.most + 1) ** 2 < 2**53
@@ -139,7 +139,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
                 np.add.at(queries, at, 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pivots), dtype=np.int32)), pa.array(rows), pa.array(queries), pa.array(radius), pa.array([v.tolist() for v in near], pa.list_(pa.float64()))], names=["cell", "n", "queries", "radius", "near"])
 
-    found = base.mapInArrow(summarize, "cell int, n long, queries long, radius double, near array<double>").groupBy("cell")
+    found = base.mapInArrow(lean(summarize), "cell int, n long, queries long, radius double, near array<double>").groupBy("cell")
     found = found.agg(F.sum("n").alias("n"), F.sum("queries").alias("queries"), F.max("radius").alias("radius"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near")).collect()
     radius, queries = np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
     near: list[list[float]] = [[]] * len(pivots)
@@ -227,9 +227,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         if lists:
             yield from answer()
 
-    sent = base.mapInArrow(send, "cell int, block int, unit int, kind int, ids binary, vectors binary")
+    sent = base.mapInArrow(lean(send), "cell int, block int, unit int, kind int, ids binary, vectors binary")
     sent = sent.repartition("cell", "block", "unit").sortWithinPartitions("cell", "block", "unit", "kind")
-    partial = sent.mapInArrow(solve, "query_id long, vec_id long, score long").distinct()
+    partial = sent.mapInArrow(lean(solve), "query_id long, vec_id long, score long").distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

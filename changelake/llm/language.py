@@ -17,7 +17,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, tune
+from .common import documents, lean, tune
 
 SAMPLE_DOCS = 160
 DICT_BYTES = 96 << 10
@@ -96,7 +96,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
             kept = [batch.column(i) for i in range(len(keep) + with_text)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[*keep, *["text"] * with_text, "lang_pred", "score"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, fields)
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run), fields)
 
 
 def learnable(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import chunks, documents, sized, tune, utf8, written
+from .common import chunks, documents, lean, sized, tune, utf8, written
 
 CAP = 2048
 END_ID = 0
@@ -187,7 +187,7 @@ def cut(docs: DataFrame, path: str | None = None, cap: int = CAP, end_id: int =
             kept = [batch.column(i).take(index) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=[*keep, "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{fields}, {PIECE}")
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run), f"{fields}, {PIECE}")
 
 
 def pack(pieces: DataFrame, cap: int = CAP) -> DataFrame:
@@ -235,7 +235,7 @@ def pack(pieces: DataFrame, cap: int = CAP) -> DataFrame:
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(seq), pa.array(offset)], names=[*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place_all, fields)
+    return ranked.mapInArrow(lean(place_all), fields)
 
 
 def op3_best_fit_packing(spark, sf_dir: str) -> DataFrame:

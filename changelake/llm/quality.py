@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, mix64, tune, utf8
+from .common import chunks, documents, lean, mix64, tune, utf8
 
 SAMPLE_DOCS = 6000
 DIM, NONZERO, BUCKETS = 48, 4, 1 << 13
@@ -209,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", most: int =
         for i, part in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"])
 
-    counted = sample.mapInArrow(count, "slice int, counts binary").repartition(8, "slice").mapInArrow(add, "slice int, counts binary").collect()
+    counted = sample.mapInArrow(lean(count), "slice int, counts binary").repartition(8, "slice").mapInArrow(lean(add), "slice int, counts binary").collect()
     context = np.zeros((8, BUCKETS // 8 * DIM))
     for r in counted:
         context[r.slice] += np.frombuffer(r.counts, np.int64)
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", most: int =
             x = pooled(*utf8(batch.column(1)), context).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "y", "x"])
 
-    rows = sample.select("doc_id", "text", F.col("y").cast("double").alias("y")).mapInArrow(features, "doc_id long, y double, x binary").collect()
+    rows = sample.select("doc_id", "text", F.col("y").cast("double").alias("y")).mapInArrow(lean(features), "doc_id long, y double, x binary").collect()
     rows.sort(key=lambda r: (hash((r.doc_id * 2654435761) & 0xFFFFFFFF), r.doc_id, bytes(r.x)))
     if not rows:
         return context, Network(np.zeros((0, 1)), np.zeros(0))
@@ -246,7 +246,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], keep: tuple[str, .
             x = pooled(*utf8(batch.column(batch.num_columns - 1)), context)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(net.score(x))], names=[*keep, "score"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, fields)
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run), fields)
 
 
 def op7_quality_score(spark, sf_dir: str) -> DataFrame:

@@ -28,12 +28,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, mix64, sized, tune, utf8, written
+from .common import chunks, documents, lean, mix64, sized, tune, utf8, written
 
 LEAST = 400
-BATCH_BYTES, PIECE = 1 << 20, 8 << 20
+BATCH_BYTES, PIECE = 1 << 19, 8 << 20
 #: A unit of the index, in bytes; a family of contexts beyond FAMILY_BYTES is halved.
-UNIT_BYTES, FAMILY_BYTES = 1 << 20, 3 << 19
+UNIT_BYTES, FAMILY_BYTES = 1 << 19, 3 << 18
 PLACE_BITS = np.uint64(26)
 _BASE = 0x9E3779B97F4A7C15 | 5
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
@@ -112,7 +112,7 @@ class RunIndex:
         for k in range(7):
             packed = packed << 9 | np.where(self.left > k, symbol[k : n + k], 0)
         rank = self._dense(packed)
-        self.levels, k = [(7, rank)], 7
+        self.levels, k = [(7, rank.astype(np.int32))], 7
         longest = int(sizes.max(initial=0))
         while k < longest:
             after = np.zeros(n, np.int64)
@@ -120,7 +120,7 @@ class RunIndex:
             after[inside] = rank[inside + k] + 1
             rank = self._dense(rank.astype(np.int64) * (n + 1) + after)
             k *= 2
-            self.levels.append((k, rank))
+            self.levels.append((k, rank.astype(np.int32)))
             if int(rank.max(initial=0)) == n - 1:
                 break
         # Equal suffixes keep the order of their strings, as if each string ended with a sign of its own.
@@ -216,7 +216,7 @@ def places(docs: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(ctx), tkey.take(index), tlen.take(index), pa.array((s0 + shift).astype(np.int32)), pa.array((s1 + shift).astype(np.int32)), pa.array(off.astype(np.int32))], names=names)
 
     rows = keyed(docs).where(F.col("tlen") >= least)
-    return rows.mapInArrow(run, "gram long, ctx long, tkey long, tlen int, s0 int, s1 int, off int")
+    return rows.mapInArrow(lean(run), "gram long, ctx long, tkey long, tlen int, s0 int, s1 int, off int")
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
@@ -239,7 +239,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(c, pa.int64()), pa.array(o, pa.int32()), pa.array(d, pa.binary())], names=["gram", "ctx", "off", "data"])
 
     # Copies of a text give the same contexts again: one of each stays.
-    return texts.mapInArrow(run, "gram long, ctx long, off int, data binary").dropDuplicates(["gram", "ctx"])
+    return texts.mapInArrow(lean(run), "gram long, ctx long, off int, data binary").dropDuplicates(["gram", "ctx"])
 
 
 def indexed(families: DataFrame, least: int) -> DataFrame:
@@ -279,7 +279,7 @@ def indexed(families: DataFrame, least: int) -> DataFrame:
             yield from done()
 
     placed = families.select("key", "gram", "ctx", "data").repartition("key").sortWithinPartitions("key")
-    return placed.mapInArrow(run, "gram long, ctx long, spans binary")
+    return placed.mapInArrow(lean(run), "gram long, ctx long, spans binary")
 
 
 def halved(families: DataFrame, least: int) -> DataFrame:
@@ -305,7 +305,7 @@ def halved(families: DataFrame, least: int) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["key", "gram", "ctx", "off", "data", "lo", "hi"])
 
-    return families.select("gram", "ctx", "off", "data", "lo", "hi").mapInArrow(run, "key long, gram long, ctx long, off int, data binary, lo int, hi int")
+    return families.select("gram", "ctx", "off", "data", "lo", "hi").mapInArrow(lean(run), "key long, gram long, ctx long, off int, data binary, lo int, hi int")
 
 
 def repeated(found: DataFrame, least: int) -> DataFrame:
@@ -332,7 +332,7 @@ def repeated(found: DataFrame, least: int) -> DataFrame:
                 s = np.asarray(batch.column(2)).astype("<i4")
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in np.c_[s, s + least].astype("<i4")], pa.binary())], names=["gram", "ctx", "spans"])
 
-        out = out.unionByName(whole.mapInArrow(fixed, "gram long, ctx long, spans binary"))
+        out = out.unionByName(whole.mapInArrow(lean(fixed), "gram long, ctx long, spans binary"))
         families = written(halved(rest.where("lo < hi"), least), "families")
 
 
@@ -383,7 +383,7 @@ def covers(docs: DataFrame, least: int = LEAST) -> DataFrame:
             yield out_of(rows)
 
     placed = hits.repartition("tkey", "tlen").sortWithinPartitions("tkey", "tlen")
-    return written(placed.mapInArrow(join_up, "tkey long, tlen int, spans binary"), "covers")
+    return written(placed.mapInArrow(lean(join_up), "tkey long, tlen int, spans binary"), "covers")
 
 
 def whole_characters(data: bytes, pairs: list[list[int]]) -> list[list[int]]:
@@ -423,7 +423,7 @@ def cut(docs: DataFrame, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)
                     c.append(v)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())], names=[*keep, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return rows.mapInArrow(run, fields)
+    return rows.mapInArrow(lean(run), fields)
 
 
 def op6_repeated_spans(spark, sf_dir: str) -> DataFrame:

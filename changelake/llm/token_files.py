@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import chunks, documents, sized, tune, utf8, written
+from .common import chunks, documents, lean, sized, tune, utf8, written
 
 BITS, LANES, STEPS = 16, 32, 256
 SEGMENT_IDS = 1 << 19
@@ -179,7 +179,7 @@ def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, out: s
         if names:
             yield done()
 
-    return written(ranged.mapInArrow(run, "shard int, segment int, n_ids long, data binary"), "tokens", out)
+    return written(ranged.mapInArrow(lean(run), "shard int, segment int, n_ids long, data binary"), "tokens", out)
 
 
 def read(files: DataFrame, with_ids: bool = True) -> DataFrame:
@@ -208,7 +208,7 @@ def read(files: DataFrame, with_ids: bool = True) -> DataFrame:
                         names=["shard", "segment", "doc_id", "at", "n_tokens", "ids_crc32", "ids"],
                     )
 
-    rows = files.select("shard", "segment", "data").mapInArrow(run, "shard int, segment int, doc_id long, at long, n_tokens long, ids_crc32 long, ids binary")
+    rows = files.select("shard", "segment", "data").mapInArrow(lean(run), "shard int, segment int, doc_id long, at long, n_tokens long, ids_crc32 long, ids binary")
     rows = rows.join(sized(starts, 32), ["shard", "segment"])
     return rows.select("doc_id", (F.col("first_id") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 

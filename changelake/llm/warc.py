@@ -21,7 +21,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized, tune, written
+from .common import lean, sized, tune, written
 
 ARCHIVE_BYTES = 4 << 20
 LEVEL = 4
@@ -134,7 +134,7 @@ def write(pages: DataFrame, out: str | None = None, least_bytes: int = 0) -> Dat
         if held:
             yield done()
 
-    return written(rows.mapInArrow(run, "archive string, data binary"), "warc", out)
+    return written(rows.mapInArrow(lean(run), "archive string, data binary"), "warc", out)
 
 
 def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -158,7 +158,7 @@ def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
 
-    return archives.select("archive", "data").mapInArrow(run, RECORD)
+    return archives.select("archive", "data").mapInArrow(lean(run), RECORD)
 
 
 def captures(found: DataFrame) -> DataFrame:

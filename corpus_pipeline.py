@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.llm import jaccard, language, mixing, packing, repeats
-from changelake.llm.common import documents, sized, written
+from changelake.llm.common import documents, lean, sized, written
 
 #: Near duplicates: shingles of five words, similarity 0.8. Passages of 50 words and more are about 240 bytes.
 WORDS, PERCENT, REPEAT_BYTES = 5, 80, 240
@@ -83,7 +83,7 @@ def _first_words(part: DataFrame, docs: DataFrame) -> DataFrame:
             cols = [pa.array(texts, pa.string()) if c == "text" else batch.column(i) for i, c in enumerate(names)]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    out = part.mapInArrow(run, docs.schema)
+    out = part.mapInArrow(lean(run), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*names) if "n_chars" in names else out
 
 
