@@ -92,4 +92,30 @@ SQL = {
     "op_histogram": f"WITH {LOG} SELECT op, count(*) AS events, count(DISTINCT user_id) AS keys FROM log GROUP BY 1",
     "no_row_lost": f"WITH {LOG} SELECT lsn FROM log WHERE lsn % 97 = 5",
     "applied_counts": f"WITH {LOG} SELECT event_type, count(*) AS applied, count(*) FILTER (op = 'd') AS deletes FROM log GROUP BY 1",
+    "refusals_pending": f"WITH {LOG} SELECT user_id AS relation, lsn % 3 AS refusal, max(lsn) AS at, 'pending' AS state FROM log WHERE event_type IN ('error', 'signup') GROUP BY 1, 2 HAVING arg_max(event_type, lsn) = 'error'",
+    "snapshot_audit": f"WITH {LOG} SELECT DISTINCT event_type, txn_id, 'completed' AS event FROM log WHERE txn_id <= 200",
+    "superseded_changes": f"""WITH {LOG}, c AS (SELECT user_id AS relation, lsn, CASE event_type WHEN 'error' THEN 'dropped' WHEN 'signup' THEN 'present' WHEN 'click' THEN 'recreated' ELSE 'schema' END AS kind FROM log),
+        l AS (SELECT relation, max(lsn) FILTER (kind = 'dropped') AS d, max(lsn) FILTER (kind = 'present') AS p, max(lsn) FILTER (kind = 'recreated') AS r, max(lsn) FILTER (kind = 'schema') AS s FROM c GROUP BY 1),
+        m AS (SELECT c.*, CASE WHEN lsn < CASE kind WHEN 'dropped' THEN d WHEN 'present' THEN p WHEN 'recreated' THEN r ELSE s END OR (kind = 'dropped' AND (lsn < coalesce(p, -1) OR lsn < coalesce(r, -1))) THEN 'superseded' ELSE 'pending' END AS state FROM c JOIN l USING (relation))
+      SELECT relation, kind, state, count(*) AS changes, max(lsn) AS last_lsn FROM m GROUP BY 1, 2, 3""",
+    "recovery_journal": "SELECT * FROM (VALUES ('p','offsets_file_deleted','delete_resume_point'),('q','requested','delete_offsets_file'),('r','armed','rebuild'),('s','resume_point_deleted','drop_slot')) t(pipeline, phase, next_step)",
+    "recovery_finished": "SELECT * FROM (VALUES ('p', true), ('q', true), ('r', false), ('s', false)) t(pipeline, finished)",
+    "slot_history": f"""WITH {LOG}, o AS (SELECT user_id AS slot, lsn, CASE WHEN lsn % 11 = 0 THEN 0 ELSE lsn END AS r, CASE WHEN lsn % 22 = 0 THEN 0 ELSE lsn END AS c FROM log WHERE user_id < 40),
+        h AS (SELECT *, lag(r) OVER w AS pr, lag(c) OVER w AS pc FROM o WINDOW w AS (PARTITION BY slot ORDER BY lsn))
+      SELECT slot, CASE WHEN r < pr AND c < pc THEN 'slot_recreated' ELSE 'ok' END AS verdict, count(*) AS seen FROM h GROUP BY 1, 2""",
+    "lag_steady": f"""WITH {LOG}, b AS (SELECT user_id, coalesce(max(lsn) FILTER (value > 60), -1) AS broken FROM log GROUP BY 1)
+      SELECT user_id AS source, min(lsn) AS steady_since, count(*) AS samples FROM log JOIN b USING (user_id) WHERE lsn > broken GROUP BY 1""",
+    "commit_triggers": "SELECT * FROM (VALUES ('a', NULL), ('b', 'age'), ('c', 'bytes'), ('d', 'events'), ('e', 'phase_change'), ('f', 'drained')) t(name, trigger)",
+    "resume_point": f"""WITH {COUNTS}, wrong AS (SELECT DISTINCT d.txn_id FROM declared d JOIN observed o USING (txn_id, src_table) WHERE d.declared <> o.observed),
+        w AS (SELECT txn_id, max(lsn) AS last_lsn FROM log WHERE txn_id % 50 <> 13 AND txn_id NOT IN (FROM wrong) GROUP BY 1 HAVING count(*) = 7)
+      SELECT max(last_lsn) AS last_lsn, arg_max(txn_id, last_lsn) AS last_txn_id, count(*) AS units FROM w""",
+    "truncate_modes": f"WITH {LOG} SELECT event_type, lsn, mode = 'replicate' AS applied, mode FROM log, (VALUES ('replicate'), ('log')) m(mode) WHERE lsn % 997 = 500",
+    "telling_columns": f"WITH {LOG} SELECT lsn, CASE WHEN lsn % 2 = 0 THEN 'kind' ELSE 'kind,props' END AS columns FROM log",
+    "snapshot_notifications": "SELECT * FROM (VALUES (1::BIGINT,'STARTED',NULL,NULL::BIGINT,NULL),(2,'TABLE_SCAN_COMPLETED','app.a',12,'SUCCEEDED'),(3,'TABLE_SCAN_COMPLETED','app.b',0,'EMPTY'),(4,'COMPLETED',NULL,NULL,NULL)) t(seq, observation, src_table, declared, status)",
+    "snapshot_phase": "SELECT * FROM (VALUES ('whole','callbacks_complete'),('one missing','completion_notified'),('running','callbacks_started'),('not begun','awaiting_callbacks')) t(name, state)",
+    "snapshot_watermarks": f"WITH {LOG} SELECT event_type AS src_table, max(lsn) AS snapshot_lsn FROM log WHERE event_type = 'click' GROUP BY 1",
+    "wal_position": f"WITH {LOG} SELECT max(lsn) AS current_wal_lsn, max(lsn) - min(lsn) AS behind FROM log",
+    "source_catalog": "SELECT * FROM (VALUES ('app','a','id:bigint,v:text','id',true,0::BIGINT),('app','p','at:date','at',true,2)) t(schema, \"table\", columns, key, published, partitions)",
+    "synthetic_changes": "SELECT op, count(*) AS changes, min(k) AS lo, max(k) AS hi FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 17 = 3 THEN 'd' ELSE 'u' END AS op FROM orders WHERE o_orderkey % 17 = 3 OR o_orderkey % 5 = 1 UNION ALL SELECT o_orderkey + 5000000, 'c' FROM orders WHERE o_orderkey % 31 = 7) GROUP BY 1",
+    "normalized_types": "SELECT * FROM (VALUES ('TINYINT','BIGINT'),('HUGEINT','BIGINT'),('real','DOUBLE'),('FLOAT','DOUBLE'),('Boolean','BOOLEAN'),('JSON','JSON'),('TEXT','VARCHAR'),('TIMESTAMP','VARCHAR'),('DECIMAL(10,2)','VARCHAR')) t(type_name, kind)",
 }

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import machines
+from .. import machines, schemas
 from ..functions import lattice, naming
-from ..operators import assembly, catalog, evolution, fold, reconcile, snapshots
+from ..operators import assembly, catalog, control, evolution, fold, reconcile, snapshots
 from ..sources.changelog import change_log, decode, envelopes, table, txn_ends
 
 QUERIES = {}
@@ -511,3 +511,137 @@ def no_row_lost(spark, sf):
 @query
 def applied_counts(spark, sf):
     return change_log(spark, sf).groupBy("event_type").agg(F.count("*").alias("applied"), F.sum(F.when(F.col("op") == "d", 1).otherwise(0)).cast("long").alias("deletes"))
+
+
+# Control state
+
+
+@query
+def refusals_pending(spark, sf):
+    log = change_log(spark, sf)
+    records = log.where("event_type IN ('error', 'signup')").select(F.col("user_id").alias("relation"), (F.col("lsn") % 3).alias("refusal"), F.col("lsn").alias("at"), F.when(F.col("event_type") == "error", "pending").otherwise("resolved").alias("state"))
+    return control.refusals_pending(records)
+
+
+@query
+def snapshot_audit(spark, sf):
+    """Completion records delivered again: each stays once."""
+    log = change_log(spark, sf).select("event_type", "txn_id", F.lit("completed").alias("event"))
+    return control.audited_once(log.where("txn_id < 100").distinct(), log.where("txn_id BETWEEN 50 AND 200"), ["event_type", "txn_id", "event"])
+
+
+@query
+def superseded_changes(spark, sf):
+    kind = F.when(F.col("event_type") == "error", "dropped").when(F.col("event_type") == "signup", "present").when(F.col("event_type") == "click", "recreated").otherwise("schema")
+    return control.superseded(change_log(spark, sf).select(F.col("user_id").alias("relation"), "lsn", kind.alias("kind"))).groupBy("relation", "kind", "state").agg(F.count("*").alias("changes"), F.max("lsn").alias("last_lsn"))
+
+
+@query
+def recovery_journal(spark, sf):
+    rows = [("p", "requested", 1), ("p", "offsets_file_deleted", 2), ("q", "requested", 1), ("r", "armed", 9), ("r", "requested", 3), ("s", "resume_point_deleted", 4)]
+    return control.journal_step(literal(spark, "pipeline string, phase string, at long", rows))
+
+
+@query
+def recovery_finished(spark, sf):
+    states = [("p", "a", "complete", False), ("p", "b", "complete", False), ("q", "a", "complete", True), ("q", "b", "complete", True), ("r", "a", "complete", False), ("s", "a", "awaiting_snapshot", False)]
+    return control.recovered(literal(spark, "pipeline string, src_table string, snapshot_state string, verified_empty boolean", states), literal(spark, "pipeline string, last_lsn long", [("p", 1), ("s", 2)]))
+
+
+@query
+def slot_history(spark, sf):
+    """Observations in a row, decided by the table: a slot that falls back was made anew."""
+    seen = change_log(spark, sf).where("user_id < 40").select(F.col("user_id").alias("slot"), F.col("lsn").alias("at"), F.when(F.col("lsn") % 11 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("restart_lsn"), F.when(F.col("lsn") % 22 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("confirmed_flush_lsn"), F.lit("s").alias("system_identifier"), F.lit(1).alias("timeline_id"))
+    rows = control.slot_history(seen).withColumns({"observable": F.lit(True), "durable_lsn": F.lit(10**6).cast("long"), "slot_exists": F.lit(True), "current_wal_lsn": F.lit(10**7).cast("long"), "destination_rows": F.lit(1)})
+    return reconcile.slot_verdicts(rows).groupBy("slot", "verdict").agg(F.count("*").alias("seen"))
+
+
+@query
+def lag_steady(spark, sf):
+    samples = change_log(spark, sf).select(F.col("user_id").alias("source"), F.col("lsn").alias("at"), F.col("value").alias("lag"))
+    return control.steady(samples, 60)
+
+
+@query
+def commit_triggers(spark, sf):
+    rows = [("a", False, 1, 10, 10, False), ("b", False, 1, 10, 6000, False), ("c", False, 300 << 20, 10, 6000, False), ("d", False, 1, 300_000, 6000, True), ("e", True, 300 << 20, 1, 1, True), ("f", False, 1, 1, 1, True)]
+    return control.commit_trigger(literal(spark, "name string, phase_changes boolean, bytes long, events long, age_ms long, drained boolean", rows)).select("name", "trigger")
+
+
+@query
+def resume_point(spark, sf):
+    log = change_log(spark, sf)
+    whole = assembly.completeness(log, txn_ends(log)).where("complete")
+    return control.resume_point(whole)
+
+
+@query
+def truncate_modes(spark, sf):
+    log, cut = with_truncates(spark, sf)
+    marks = log.where(cut).select("event_type", "lsn")
+    logged = control.truncate_effect(marks, "log").withColumn("mode", F.lit("log"))
+    return control.truncate_effect(marks, "replicate").withColumn("mode", F.lit("replicate")).unionByName(logged).unionByName(control.truncate_effect(marks, "ignore").withColumn("mode", F.lit("ignore")))
+
+
+@query
+def telling_columns(spark, sf):
+    image = F.create_map(F.lit("user_id"), F.col("user_id").cast("string"), F.lit("kind"), F.col("event_type"), F.lit("props"), F.when(F.col("lsn") % 2 == 0, schemas.UNAVAILABLE).otherwise(F.col("props")))
+    left = control.telling(image, ["user_id"], schemas.UNAVAILABLE)
+    return change_log(spark, sf).select("lsn", F.array_join(F.array_sort(F.map_keys(left)), ",").alias("columns"))
+
+
+@query
+def snapshot_notifications(spark, sf):
+    rows = [(1, '{"observation": "STARTED"}'), (2, '{"observation": "TABLE_SCAN_COMPLETED", "scanned_collection": "app.a", "total_rows_scanned": "12", "status": "SUCCEEDED"}'), (3, '{"observation": "TABLE_SCAN_COMPLETED", "scanned_collection": "app.b", "total_rows_scanned": "0", "status": "EMPTY"}'), (4, '{"observation": "COMPLETED"}')]
+    return control.notification(literal(spark, "seq long, value string", rows))
+
+
+@query
+def snapshot_phase(spark, sf):
+    found = snapshot_notifications(spark, sf)
+    out = None
+    for name, tables, upto in (("whole", ["app.a", "app.b"], 4), ("one missing", ["app.a", "app.b", "app.c"], 4), ("running", ["app.a", "app.b"], 3), ("not begun", ["app.a"], 0)):
+        one = control.snapshot_phase(found.where(F.col("seq") <= upto), literal(spark, "src_table string", [(t,) for t in tables])).withColumn("name", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out.select("name", "state")
+
+
+@query
+def snapshot_watermarks(spark, sf):
+    """The fence of each table whose image is complete."""
+    rows = change_log(spark, sf).groupBy(F.col("event_type").alias("src_table")).agg(F.max("lsn").alias("snapshot_lsn"))
+    return rows.join(F.broadcast(literal(spark, "src_table string, snapshot_state string", STATES)), "src_table").where("snapshot_state = 'complete'").select("src_table", "snapshot_lsn")
+
+
+@query
+def wal_position(spark, sf):
+    return change_log(spark, sf).agg(F.max("lsn").alias("current_wal_lsn"), (F.max("lsn") - F.min("lsn")).alias("behind"))
+
+
+@query
+def source_catalog(spark, sf):
+    """Relations with their columns, key and publication; partitions under their root."""
+    relations = literal(spark, "oid long, schema string, table string, root long", [(1, "app", "a", None), (2, "app", "p", None), (3, "app", "p_1", 2), (4, "app", "p_2", 2)])
+    columns = literal(spark, "oid long, attnum int, name string, type string, is_key boolean", [(1, 2, "v", "text", False), (1, 1, "id", "bigint", True), (2, 1, "at", "date", True)])
+    published = literal(spark, "oid long", [(1,), (2,)])
+    ordered = F.array_sort(F.collect_list(F.struct("attnum", "name", "type")))
+    lists = columns.groupBy("oid").agg(F.array_join(F.transform(ordered, lambda c: F.concat_ws(":", c["name"], c["type"])), ",").alias("columns"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("is_key"), F.col("name")))), ",").alias("key"))
+    children = relations.where("root IS NOT NULL").groupBy(F.col("root").alias("oid")).agg(F.count("*").alias("partitions"))
+    rows = relations.where("root IS NULL").join(lists, "oid", "left").join(published.withColumn("published", F.lit(True)), "oid", "left").join(children, "oid", "left")
+    return rows.select("schema", "table", "columns", "key", F.coalesce("published", F.lit(False)).alias("published"), F.coalesce("partitions", F.lit(0)).cast("long").alias("partitions"))
+
+
+@query
+def synthetic_changes(spark, sf):
+    """A wave of changes over orders, the same on each run: some updates, deletes and inserts."""
+    orders = table(spark, sf, "orders")
+    op = F.when(F.col("o_orderkey") % 17 == 3, "d").when(F.col("o_orderkey") % 5 == 1, "u")
+    old = orders.select("o_orderkey", "o_custkey", op.alias("op")).where("op IS NOT NULL")
+    new = orders.where("o_orderkey % 31 = 7").select((F.col("o_orderkey") + 5000000).alias("o_orderkey"), "o_custkey", F.lit("c").alias("op"))
+    return old.unionByName(new).groupBy("op").agg(F.count("*").alias("changes"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+
+
+@query
+def normalized_types(spark, sf):
+    names = ["TINYINT", "HUGEINT", "real", "FLOAT", "Boolean", "JSON", "TEXT", "TIMESTAMP", "DECIMAL(10,2)"]
+    return literal(spark, "type_name string", [(n,) for n in names]).select("type_name", lattice.normalized(F.col("type_name")).alias("kind"))
