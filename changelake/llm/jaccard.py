@@ -431,8 +431,8 @@ def split(sets: DataFrame, percent: int) -> DataFrame:
     thin = F.greatest(F.lit(1), F.floor(F.col("m") / (4 * PIVOTS))).cast("long")
     some = sets.join(sized(counts, 24), "region").where(F.pmod(F.xxhash64("rep", F.lit(3)), thin) == 0)
     some = some.groupBy("region").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("rep").alias("h"), "shingles"))), 1, PIVOTS).alias("pivots"))
-    some = written(some.select("region", F.col("pivots.shingles").alias("pivots")), "pivots")
-    rows = sets.join(sized(some, PIVOTS * 8192), "region", "left").select("region", "rep", "n", "shingles", "pivots")
+    some = written(some.select("region", F.col("pivots.shingles").alias("pivots"), F.aggregate("pivots.shingles", F.lit(0), lambda n, p: n + F.octet_length(p)).alias("bytes")), "pivots")
+    rows = sets.join(sized(some, 32, "bytes"), "region", "left").select("region", "rep", "n", "shingles", "pivots")
     t = 1 - percent / 100
 
     def run(batches):

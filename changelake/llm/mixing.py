@@ -56,8 +56,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.
     per = written(targets(base, weights, share, most), "targets")
     per = per.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     per = per.withColumn("rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
-    n_sources = per.count()
-    per_b = sized(per, 96, n_sources)
+    per_b = sized(per, 64)
     buckets = F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_DOCS))
     part = F.least(buckets - 1, F.floor((1.0 - F.exp(-F.col("key") * F.col("mean_weight"))) * buckets)).cast("long")
     rows = base.withColumnRenamed("source", "src").join(per_b, F.col("src").eqNullSafe(F.col("source"))).withColumn("bucket", part).drop("src")

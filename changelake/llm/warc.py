@@ -109,7 +109,7 @@ def write(pages: DataFrame, out: str | None = None, least_bytes: int = 0) -> Dat
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("sha"), F.octet_length(html).alias("n"))
     first = rows.where(F.col("n") >= least_bytes).groupBy("sha", "n").agg(F.min("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     first = written(first, "revisits")
-    rows = rows.join(sized(first, 96), ["sha", "n"], "left")
+    rows = rows.join(sized(first, 64), ["sha", "n"], "left")
     revisits = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     rows = rows.select("page_id", "url", "html", revisits.alias("first"))
 
