@@ -1,6 +1,7 @@
 """The destination: versioned Parquet tables whose commit is one file.
 
-A commit writes new table versions and then one manifest, named by its commit id and created exclusively. The manifest
+Keyed tables are cut into buckets by a hash of the key; a commit rewrites the buckets that hold touched keys, the other
+buckets' files stay. A commit writes new table versions and then one manifest, named by its commit id and created exclusively. The manifest
 lists every table's versions, schema and keys, the resume point, the group's audit row and the micro-batch it holds; so
 data, schema, audit and resume point become visible together or not at all. Readers resolve the latest manifest. A lost
 race for a commit id is a conflict: someone else writes here. Nothing is acknowledged before the manifest exists.
@@ -16,11 +17,13 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import fold
 
 LEASE_SECONDS = 60
+BUCKET = "__bucket"
 
 
 class Conflict(RuntimeError):
@@ -36,7 +39,9 @@ class AmbiguousDelete(RuntimeError):
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, pipeline: str = "default", fault: Callable[[str], None] | None = None):
+    def __init__(self, spark: SparkSession, root: str, pipeline: str = "default", fault: Callable[[str], None] | None = None, buckets: int = 8):
+        """buckets: into how many parts keyed tables are cut by a hash of the key; it must not change once a table exists."""
+        self.buckets = buckets
         self.spark, self.root, self.pipeline = spark, root.rstrip("/"), pipeline
         self.fault = fault or (lambda anchor: None)
         jvm = spark._jvm
@@ -82,10 +87,19 @@ class Store:
         entry = self.latest()["tables"].get(name)
         return self._load(entry) if entry else None
 
-    def _load(self, entry: dict) -> DataFrame:
-        out = self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{v}" for v in entry["versions"]])
+    def _load(self, entry: dict, buckets: list[int] | None = None) -> DataFrame | None:
+        """A table, or some of its buckets; None where there is no file."""
+        parts = entry["versions"]
+        if isinstance(parts, dict):
+            parts = [v for k, v in sorted(parts.items()) if buckets is None or int(k) in buckets]
+        if not parts:
+            return self.spark.createDataFrame([], ", ".join(f"`{c}` {entry['types'][c]}" for c in entry["columns"])) if buckets is None else None
+        out = self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{v}" for v in parts])
         return out.select(*entry["columns"])
 
+    def _bucket(self, keys: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
     def log(self) -> list[dict]:
         """The audit rows of all commits, one per manifest."""
         return [self._read(f"_manifest/{i:020d}.json")["audit"] for i in self._manifests()]
@@ -128,26 +142,17 @@ class Store:
                 continue
             old = tables.get(name)
             version = f"tables/{name}/v{commit_id:020d}-{uuid.uuid4().hex[:8]}"
-            if "append" in change:
-                rows, keep = change["append"], list(old["versions"]) if old else []
-            elif "replace" in change:
-                rows, keep = change["replace"], []
-            else:
-                keys = change["keys"]
-                upserts = change.get("upserts")
-                deletes = change.get("deletes")
-                empty = (upserts if upserts is not None else deletes).select(*keys).limit(0)
-                rows, keep = (upserts if upserts is not None else empty), []
-                if old:  # a table made in this commit has nothing to delete from
-                    rows = fold.merge(self._load(old), rows, deletes if deletes is not None else empty, keys)
-            rows.write.parquet(f"{self.root}/{version}")
-            self.fault("after_stage")
-            written = self.spark.read.parquet(f"{self.root}/{version}")
-            if change.get("keys") and not fold.duplicates(written, change["keys"]).isEmpty():
-                raise IdentityViolation(f"{name} would hold an identity twice")
-            counts[name] = written.count()
-            columns = list(dict.fromkeys([*(old["columns"] if old and keep else []), *rows.columns]))
-            tables[name] = {"versions": [*keep, version], "columns": columns, "keys": change.get("keys") or (old or {}).get("keys"), "types": dict(rows.dtypes)}
+            if "append" in change or "replace" in change:
+                rows = change.get("append", change.get("replace"))
+                keep = list(old["versions"]) if old and "append" in change else []
+                rows.write.parquet(f"{self.root}/{version}")
+                self.fault("after_stage")
+                counts[name] = self.spark.read.parquet(f"{self.root}/{version}").count()
+                columns = list(dict.fromkeys([*(old["columns"] if keep else []), *rows.columns]))
+                types = (old["types"] if keep else {}) | dict(rows.dtypes)
+                tables[name] = {"versions": [*keep, version], "columns": columns, "keys": None, "types": types}
+                continue
+            tables[name], counts[name] = self._merge(old, change, version)
         row = {"commit_id": commit_id, "pipeline": self.pipeline, "rows": counts, "tables_touched": sorted(changes), "resume": resume or state["resume"]} | (audit or {})
         manifest = {"commit_id": commit_id, "tables": tables, "resume": resume or state["resume"], "batches": batch_id if batch_id is not None else state.get("batches", -1), "audit": row}
         self.fault("before_publish")
@@ -156,6 +161,30 @@ class Store:
         self.fault("after_publish")
         return commit_id
 
+    def _merge(self, old: dict | None, change: dict, version: str) -> tuple[dict, int]:
+        """A keyed table's next version: only the buckets that hold touched keys are read and written anew."""
+        keys, upserts, deletes = change["keys"], change.get("upserts"), change.get("deletes")
+        empty = (upserts if upserts is not None else deletes).select(*keys).limit(0)
+        upserts, deletes = upserts if upserts is not None else empty, deletes if deletes is not None else empty
+        touched = upserts.select(*keys).unionByName(deletes.select(*keys)).select(self._bucket(keys).alias("b")).distinct()
+        touched = sorted(r.b for r in touched.collect())  # at most self.buckets rows
+        retyped = {c: t for c, t in upserts.dtypes if old and old["types"].get(c, t) != t}
+        if retyped:  # one type per column: all buckets are written anew
+            touched = sorted({*touched, *map(int, old["versions"])})
+        held = self._load(old, touched) if old else None
+        if held is not None:
+            held = held.withColumns({c: F.col(c).cast(t) for c, t in retyped.items()})
+        rows = upserts if held is None else fold.merge(held, upserts, deletes, keys)
+        rows.withColumn(BUCKET, self._bucket(keys)).repartition(max(1, len(touched)), BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/{version}")
+        self.fault("after_stage")
+        written = self.spark.read.schema(rows.withColumn(BUCKET, F.lit(0)).schema).parquet(f"{self.root}/{version}")
+        if not fold.duplicates(written, keys).isEmpty():
+            raise IdentityViolation("an identity would occur twice")
+        sizes = {str(r[BUCKET]): r.n for r in written.groupBy(BUCKET).agg(F.count("*").alias("n")).collect()}
+        parts = {k: v for k, v in (old["versions"] if old else {}).items() if int(k) not in touched} | {k: f"{version}/{BUCKET}={k}" for k in sizes}
+        columns = list(dict.fromkeys([*(old["columns"] if old else []), *rows.columns]))
+        return {"versions": parts, "columns": columns, "keys": keys, "types": (old["types"] if old else {}) | dict(rows.dtypes)}, sum(sizes.values())
+
     def alert(self, code: str, message: str) -> None:
         """An alert outside any commit, so that it outlives a refused group."""
         self._create(f"_alerts/{time.time_ns():020d}-{uuid.uuid4().hex[:6]}.json", {"pipeline": self.pipeline, "code": code, "message": message})

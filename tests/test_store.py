@@ -77,6 +77,20 @@ def test_conflicts_identities_and_leases(spark, tmp_path):
     assert [a["code"] for a in store.alerts()] == ["code"]
 
 
+def test_commits_rewrite_touched_buckets_only(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}", buckets=16)
+    store.commit({"a": {"upserts": frame(spark, [(i, "x") for i in range(200)]), "keys": ["id"]}})
+    before = store.latest()["tables"]["a"]["versions"]
+    store.commit({"a": {"upserts": frame(spark, [(3, "y")]).withColumn("w", F.lit(1)), "keys": ["id"]}})
+    after = store.latest()["tables"]["a"]["versions"]
+    assert len(before) == 16 and sum(before[k] != after[k] for k in before) == 1
+    assert store.table("a").count() == 200 and rows(store.table("a").where("id in (3, 4)")) == [(3, "y", 1), (4, "x", None)]
+    store.commit({"a": {"upserts": frame(spark, [(5, "z", 1.5)], "id long, v string, w double"), "keys": ["id"]}})
+    assert rows(store.table("a").where("w is not null")) == [(3, "y", 1.0), (5, "z", 1.5)] and store.table("a").count() == 200
+    store.commit({"a": {"deletes": frame(spark, [(i, "x") for i in range(200)]).select("id"), "keys": ["id"]}})
+    assert store.table("a").count() == 0 and store.table("a").columns == ["id", "v", "w"]
+
+
 def test_a_stream_applies_whole_transactions_once(spark, tmp_path):
     source, checkpoint = tmp_path / "log", f"file://{tmp_path}/checkpoint"
     store = Store(spark, f"file://{tmp_path}/store")
