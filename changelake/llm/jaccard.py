@@ -39,7 +39,9 @@ WORDS, PERCENT = 4, 85
 #: Size classes grow by this ratio; postings of one block, and of one bucket of the shuffle (16 bytes each).
 CLASS_RATIO = 1.5
 BLOCK_POSTINGS, BUCKET_POSTINGS = 1 << 19, 1 << 20
-REGION_NODES, REGION_SHINGLES = 16_384, 2_000_000
+#: Postings with sketches are dealt by size class, too, so their buckets are larger; a sketch goes once to each bucket.
+SKETCHED_POSTINGS = 1 << 24
+REGION_NODES, REGION_SHINGLES = 16_384, 4_000_000
 PIVOTS, MOST_SPLITS = 16, 5
 BATCH_BYTES = 1 << 20
 
@@ -79,7 +81,7 @@ def region_keys(s: np.ndarray, percent: int, tops: np.ndarray) -> list[tuple[int
     keys = []
     for tag in (c, c + 1) if n * 100 // percent > tops[c] and c + 1 < len(tops) else (c,):
         k = int(tops[tag]) * (100 - percent) // percent
-        slots = k + 1 + k // 20
+        slots = k + 1 + k // 8
         slot = ((s >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
         mark = mix64(np.uint64(tag + 1) * np.uint64(1 << 40) + slot[first].astype(np.uint64))
@@ -227,7 +229,7 @@ def near_pairs(k: np.ndarray, v: np.ndarray, n: np.ndarray, sketches: np.ndarray
 
 def refined_edges(texts: DataFrame, words: int, percent: int, shingles: int, most: int) -> DataFrame:
     """Edges (a, b) between reps that meet in a region and pass the sketch's bound, from texts (rep, hi, lo, text)."""
-    buckets = max(12, -(-shingles // 3 // BUCKET_POSTINGS))
+    buckets = max(4, -(-shingles // 3 // SKETCHED_POSTINGS))
     tops = class_tops(most)
 
     def run(batches):
