@@ -26,6 +26,8 @@ from .common import chunks, documents, lean, sized, tune, utf8, written
 CAP = 2048
 END_ID = 0
 RANK_ROWS = 2000
+#: Words that a worker's encoder keeps: few, as packing comes last in the pipeline, when the executor's heap has grown.
+CACHE_WORDS = 250_000
 #: Fillings looked at for one bin, and restarts that take a second choice at one of the first bins.
 NODES, RESTARTS = 4000, 4
 PIECE = "piece int, start long, length long, ids_crc32 long"
@@ -169,7 +171,7 @@ def cut(docs: DataFrame, path: str | None = None, cap: int = CAP, end_id: int =
     def run(batches):
         import pyarrow as pa
 
-        enc, last = tokens.encoder(path), np.asarray([end_id], "<u4").tobytes()
+        enc, last = tokens.encoder(path, CACHE_WORDS), np.asarray([end_id], "<u4").tobytes()
         for batch in chunks(batches, 4 << 20, "__text"):
             raw, at = utf8(batch.column(batch.num_columns - 1))
             raw, at = raw.tobytes(), at.tolist()

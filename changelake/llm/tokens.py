@@ -31,8 +31,9 @@ def pieces(text: bytes) -> list[bytes]:
 class Encoder(dict):
     """The cache itself: the ids (little-endian u32) of each piece that was met; a piece that wasn't is encoded when asked for."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int):
         super().__init__()
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -44,7 +45,7 @@ class Encoder(dict):
             ids = self[piece[:-1]] + self[piece[-1:]]
         else:
             ids = array("I", self.ids_of(piece.decode("utf-8", "replace"), None, False, False).ids).tobytes()
-        if len(piece) <= WORD_BYTES and len(self) < CACHE_WORDS:
+        if len(piece) <= WORD_BYTES and len(self) < self.most:
             self[piece] = ids
         return ids
 
@@ -53,8 +54,8 @@ class Encoder(dict):
         return [b"".join(map(self.__getitem__, pieces(t))) for t in texts]
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder a worker process; tasks that follow reuse its cache."""
+def encoder(path: str, most: int = CACHE_WORDS) -> Encoder:
+    """One encoder a worker process, with a cache of at most `most` words (about 250 bytes each); tasks that follow reuse it."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, most)
     return _encoders[path]
