@@ -1,8 +1,10 @@
 """Language identification by compression: a text belongs to the language whose raw-content dictionary shrinks it most.
 
 For each language of the learnable rows a bounded sample (SAMPLE_DOCS documents, DICT_BYTES bytes) becomes a zstandard
-raw-content dictionary. Every whole text is compressed with each dictionary; the smallest wins, ties go to the language
-with more learnable documents. The score is the winner's margin over the next language; classify() rejects margins under
+raw-content dictionary. Every whole text is compressed with each dictionary, in blocks of BLOCK_BYTES that each start from
+the fresh dictionary: one stream would leave the dictionary behind its window, and the rest of a long text would speak for no
+language. The sizes are summed over all blocks; the smallest sum wins, ties go to the language with more learnable documents.
+The score is the winner's margin over the next language; classify() rejects margins under
 min_margin.
 
 Defined results: null text, empty text and text without a letter are `und` with score 0; a table without learnable
@@ -21,8 +23,9 @@ from .common import documents, lean, tune
 
 SAMPLE_DOCS = 160
 DICT_BYTES = 96 << 10
-#: Matches of 4 bytes count, which short words need; the window holds a dictionary and a long text.
+#: Matches of 4 bytes count, which short words need; the window holds a dictionary and a block with room to spare.
 MIN_MATCH, WINDOW_LOG, TABLE_LOG, SEARCH_LOG = 4, 18, 17, 3
+BLOCK_BYTES = 32 << 10
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
@@ -87,7 +90,8 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
                     scores.append(0.0)
                     continue
                 data = letters(text)
-                sizes = [len(p.compress(data)) for p in packers]
+                blocks = [data[a : a + BLOCK_BYTES] for a in range(0, len(data), BLOCK_BYTES)]
+                sizes = [sum(len(p.compress(b)) for b in blocks) for p in packers]
                 best = min(sizes)
                 second = min((s for i, s in enumerate(sizes) if i != sizes.index(best)), default=2 * best)
                 margin = min(1.0, (second - best) / second)

@@ -386,6 +386,18 @@ def test_language(spark):
     assert language.classify(df.limit(0), language.learn(language.learnable(df.limit(0)))).count() == 0
 
 
+def test_language_of_long_texts(spark):
+    """The whole text counts, not what a window holds: a short beginning in another language decides nothing."""
+    rng = random.Random(12)
+    stems = {l: ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7))) for _ in range(4000)] for l in ("aa", "bb")}
+    say = lambda l, n: " ".join(rng.choice(stems[l]) for _ in range(n))
+    found = {l: language.letters(say(l, 20_000))[: language.DICT_BYTES] for l in stems}
+    rows = [(1, say("aa", 50_000) + " " + say("bb", 250_000)), (2, say("bb", 50_000) + " " + say("aa", 250_000)), (3, say("aa", 4000)), (4, say("aa", 300_000))]
+    out = {r.doc_id: r for r in language.classify(docs_frame(spark, rows), found).collect()}
+    assert [out[i].lang_pred for i in (1, 2, 3, 4)] == ["bb", "aa", "aa", "aa"]
+    assert out[4].score > 0.8 * out[3].score  # the margin doesn't fall with length
+
+
 # 9
 
 
