@@ -43,6 +43,18 @@ def test_language_stage(spark, documents, tmp_path):
     assert staged(spark, documents.limit(0), "language ID", tmp_path / "none").count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_language_stage_keeps_clean_long_texts(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
+    by_lang = {}
+    for r in docs.where(language.held_out()).orderBy("doc_id").collect():
+        by_lang.setdefault(r.lang, []).append(r.text)
+    assert len(by_lang) > 2
+    joined = [(-k - 1, " ".join(t * (3_000_000 // sum(map(len, t)) + 1)), None) for k, (_, t) in enumerate(sorted(by_lang.items()))]
+    out = staged(spark, docs.unionByName(spark.createDataFrame(joined, docs.schema)), "language ID", tmp_path)
+    assert {r.doc_id for r in out.where("doc_id < 0").collect()} == {i for i, _, _ in joined}
+
+
 def test_near_duplicate_stage(spark, documents, texts, tmp_path):  # noqa: F811
     out = staged(spark, documents, "n-gram Jaccard join", tmp_path)
     assert out.columns == documents.columns
