@@ -19,10 +19,14 @@ most t. The join works by regions that get smaller, each exact:
    size. This recurs; what no pivot splits is joined block by block. Sets are fetched for nodes that share a region only.
 5. Within a region, sets in order of size meet those in their size window that share a shingle of their prefix, lie
    within t of them by every pivot seen so far, and aren't in their component yet; those are compared exactly.
+6. To count links, every pair of a region is compared, in blocks: common shingles by matrix products, rare ones by their
+   lists. Only counts leave the task, so nothing grows with the square of a group but the comparing. Where cells overlap,
+   a pair counts in the first cell that both sets are in.
 
 Defined results: null text and texts without words have no shingles and link with nothing; rows with a null doc_id take
 no part in links and get a null component_id; repeated rows and copies share a component; several texts of one doc_id
-are that one document's texts, and link its components; an empty table gives no rows; other columns are ignored.
+are that one document's texts, and link its components; n_links counts the links of a row's text, one for each other text
+of a document (doc_id and set of shingles) that is similar or equal, 0 without shingles or doc_id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,6 +48,10 @@ SKETCHED_POSTINGS = 1 << 24
 REGION_NODES, REGION_SHINGLES = 16_384, 4_000_000
 PIVOTS, MOST_SPLITS = 16, 5
 BATCH_BYTES = 1 << 20
+#: Counting links: sets of one step; cells of the matrix of common shingles, and of what is unfolded of the rare ones' lists.
+STEP_SETS, DENSE_CELLS, UNFOLDED = 128, 1 << 24, 1 << 21
+SET = ("region", "rep", "n", "shingles", "hi", "copies", "lower")
+SET_SCHEMA = "region string, rep long, n long, shingles binary, hi long, copies long, lower binary"
 
 
 def needed(n, percent: int):
@@ -378,39 +386,82 @@ class Region:
                 label[np.isin(label, old)] = old[0]
         return label
 
-
-def solve(sets: DataFrame, percent: int) -> DataFrame:
-    """Star edges (a, b) of reps that link within a region, from sets (region, rep, n, shingles)."""
+    def links(self, copies: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """The copies of all other sets that link with each set; lower: for each split, the cells before this one that a
+        set is in. The sets must come in order of size."""
+        m, n = len(self.n), self.n
+        owner = np.repeat(np.arange(m), n)
+        common = np.flatnonzero(self.df > 1)
+        common = common[np.argsort(-self.df[common], kind="stable")][: max(1, DENSE_CELLS // m)]
+        column = np.full(len(self.df), -1)
+        column[common] = np.arange(len(common))
+        at = column[self.flat]
+        dense = np.zeros((m, len(common)), np.float32)
+        dense[owner[at >= 0], at[at >= 0]] = 1
+        rare = np.flatnonzero((at < 0) & (self.df[self.flat] > 1))
+        by_token = rare[np.argsort(self.flat[rare], kind="stable")]
+        lists = np.searchsorted(self.flat[by_token], np.arange(len(self.df) + 1))
+        owners = owner[by_token]
+        last = np.searchsorted(n, n * 100 // self.percent, "right")
+        total = np.zeros(m, np.int64)
+        for a in range(0, m, STEP_SETS):
+            b = min(m, a + STEP_SETS)
+            width = int(last[b - 1]) - a
+            both = (dense[a:b] @ dense[a : a + width].T).astype(np.int64)
+            mine = rare[np.searchsorted(rare, self.at[a]) : np.searchsorted(rare, self.at[b])]
+            sizes = self.df[self.flat[mine]]
+            part = (np.cumsum(sizes) - 1) // UNFOLDED
+            for k in np.unique(part):
+                e, size = mine[part == k], sizes[part == k]
+                i = np.arange(int(size.sum())) + np.repeat(lists[self.flat[e]] - (np.cumsum(size) - size), size)
+                x, y = np.repeat(owner[e], size) - a, owners[i] - a
+                here = (y >= 0) & (y < width)
+                both += np.bincount(x[here] * width + y[here], minlength=(b - a) * width).reshape(b - a, width)
+            linked = 100 * both >= self.percent * (n[a:b, None] + n[None, a : a + width] - both)
+            linked &= np.arange(width)[None, :] > np.arange(b - a)[:, None]
+            for level in lower.T:
+                linked &= (level[a:b, None] & level[None, a : a + width]) == 0
+            total[a:b] += linked @ copies[a : a + width]
+            total[a : a + width] += copies[a:b] @ linked
+        return total
+
+
+def solve(sets: DataFrame, percent: int, counted: bool = False) -> DataFrame:
+    """From sets (SET), star edges (a, b) of reps that link within a region; if counted, also rows (node, links)."""
 
     def run(batches):
         import pyarrow as pa
 
-        region, reps, held, out = None, [], [], []
+        region, held, out = None, {}, []
 
         def done():
-            order = sorted(range(len(reps)), key=lambda i: (len(held[i]), reps[i]))
-            label = Region([held[i] for i in order], percent).labels()
-            return [(reps[order[i]], reps[order[l]]) for i, l in enumerate(label.tolist()) if i != l]
-
-        def batch_of(pairs):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], names=["a", "b"])
+            sets = sorted(held.values(), key=lambda h: (len(h[2]), h[1]))
+            within = Region([h[2] for h in sets], percent)
+            rows = [(sets[i][1], sets[l][1], None, None) for i, l in enumerate(within.labels().tolist()) if i != l]
+            if counted:
+                lower = np.frombuffer(b"".join(h[4] for h in sets), "<u4").reshape(len(sets), -1)
+                links = within.links(np.asarray([h[3] for h in sets], np.int64), lower)
+                rows += [(None, None, h[0], c) for h, c in zip(sets, links.tolist(), strict=True) if c]
+            return rows
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "node", "links"])
 
         for batch in batches:
-            for r, rep, s in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for r, rep, _, s, hi, copies, lower in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if r != region:
-                    out += done() if len(reps) > 1 else []
-                    region, reps, held = r, [], []
+                    out += done() if len(held) > 1 else []
+                    region, held = r, {}
                     if len(out) > 10_000:
                         yield batch_of(out)
                         out = []
-                reps.append(rep)
-                held.append(np.frombuffer(s, np.uint64))
-        out += done() if len(reps) > 1 else []
+                held[hi] = (hi, rep, np.frombuffer(s, np.uint64), copies, lower)  # a repeated row brings its set again
+        out += done() if len(held) > 1 else []
         if out:
             yield batch_of(out)
 
-    placed = sets.select("region", "rep", "shingles").repartition("region").sortWithinPartitions("region")
-    return placed.mapInArrow(lean(run), "a long, b long")
+    placed = sets.select(*SET).repartition("region").sortWithinPartitions("region")
+    return placed.mapInArrow(lean(run), "a long, b long, node long, links long")
 
 
 def distances(sets: list[np.ndarray], pivots: list[np.ndarray]) -> np.ndarray:
@@ -434,14 +485,14 @@ def split(sets: DataFrame, percent: int) -> DataFrame:
     some = sets.join(sized(counts, 24), "region").where(F.pmod(F.xxhash64("rep", F.lit(3)), thin) == 0)
     some = some.groupBy("region").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("rep").alias("h"), "shingles"))), 1, PIVOTS).alias("pivots"))
     some = written(some.select("region", F.col("pivots.shingles").alias("pivots"), F.aggregate("pivots.shingles", F.lit(0), lambda n, p: n + F.octet_length(p)).alias("bytes")), "pivots")
-    rows = sets.join(sized(some, 32, "bytes"), "region", "left").select("region", "rep", "n", "shingles", "pivots")
+    rows = sets.join(sized(some, 32, "bytes"), "region", "left").select(*SET, "pivots")
     t = 1 - percent / 100
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            regions, reps, ns, raws, pivots = (batch.column(i).to_pylist() for i in range(5))
+            regions, reps, ns, raws, nodes, copies, lower, pivots = (c.to_pylist() for c in batch.columns)
             out = []
             for region in dict.fromkeys(regions):
                 mine = [i for i, r in enumerate(regions) if r == region]
@@ -453,17 +504,20 @@ def split(sets: DataFrame, percent: int) -> DataFrame:
                 for i, row in zip(mine, d, strict=True):
                     near = row.min()
                     # A set is in the cells whose pivot it overlaps, within 2 t of its nearest pivot ...
-                    cells = [f"{region}/{j}" for j in np.flatnonzero((row <= near + 2 * t + 1e-9) & (row < 1)).tolist()]
+                    js = np.flatnonzero((row <= near + 2 * t + 1e-9) & (row < 1)).tolist()
+                    cells = [(f"{region}/{j}", sum(1 << o for o in js if o < j)) for j in js]
                     # ... and, as far as it may be near a set that overlaps no pivot, in the cells of its size.
                     if near >= 1 - t - 1e-9:
                         band = int(np.floor(np.log(ns[i]) / -np.log(percent / 100) + 1e-9))
-                        cells += [f"{region}/size{b}" for b in (band, band + 1)]
-                    out += [(c, reps[i], ns[i], raws[i]) for c in cells]
+                        before = sum(1 << o for o in js)
+                        cells += [(f"{region}/size{band}", before), (f"{region}/size{band + 1}", before | 1 << 31)]
+                    out += [(c, reps[i], ns[i], raws[i], nodes[i], copies[i], lower[i] + mask.to_bytes(4, "little")) for c, mask in cells]
             for a in range(0, len(out), 500):
                 cols = list(zip(*out[a : a + 500], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())], names=["region", "rep", "n", "shingles"])
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, kinds, strict=True)], names=list(SET))
 
-    return rows.mapInArrow(lean(run), "region string, rep long, n long, shingles binary")
+    return rows.mapInArrow(lean(run), SET_SCHEMA)
 
 
 def blocked(sets: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -472,68 +526,78 @@ def blocked(sets: DataFrame, sizes: DataFrame) -> DataFrame:
     rows = sets.join(sized(sizes.withColumn("blocks", blocks), 64), "region").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cell = F.concat_ws("/", "region", F.least("own", "other").cast("string"), F.greatest("own", "other").cast("string"))
-    return rows.select(cell.alias("region"), "rep", "n", "shingles")
+    # Sets of one block meet in many cells; they count in the one of their block alone.
+    side = F.when(F.col("own") < F.col("other"), F.expr("X'01000000'")).when(F.col("own") > F.col("other"), F.expr("X'02000000'")).otherwise(F.expr("X'00000000'"))
+    return rows.withColumn("lower", F.concat("lower", side)).select(cell.alias("region"), *SET[1:])
 
 
-def large_links(sets: DataFrame, percent: int) -> DataFrame:
+def large_links(sets: DataFrame, percent: int, counted: bool = False) -> DataFrame:
     """Links within regions too large for one task, by Voronoi cells, recursively."""
     spark, found, parent = sets.sparkSession, [], None
     small = (F.col("m") <= REGION_NODES) & (F.col("total") <= REGION_SHINGLES)
     for _ in range(MOST_SPLITS):
         cells = written(split(sets, percent), "cells")
         sizes = written(cells.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")), "sizes")
-        found.append(solve(cells.join(sized(sizes.where(small), 64), "region").select("region", "rep", "n", "shingles"), percent))
+        found.append(solve(cells.join(sized(sizes.where(small), 64), "region"), percent, counted))
         rest = sizes.where(~small)
         if rest.isEmpty():
             sets = None
             break
-        sets = cells.join(sized(rest, 64), "region").select("region", "rep", "n", "shingles")
+        sets = cells.join(sized(rest, 64), "region").select(*SET)
         total = rest.agg(F.sum("m")).first()[0]
         if parent is not None and total > 0.9 * parent:
             break  # pivots no longer split them
         parent = total
     if sets is not None:
         sizes = written(sets.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")), "sizes")
-        found.append(solve(blocked(sets, sizes), percent))
+        found.append(solve(blocked(sets, sizes), percent, counted))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out
 
 
-def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counted: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document; if counted, also n_links."""
     spark = docs.sparkSession
     every = survey(docs, words)
     named = every.where("n > 0 AND doc_id IS NOT NULL")
-    nodes = named.groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    nodes = (named.distinct() if counted else named).groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     nodes = written(nodes, "nodes")
     totals = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     merged = components(candidate_edges(docs, words, percent, *totals))
-    inside = nodes.join(merged, F.col("hi") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n")
+    inside = nodes.join(merged, F.col("hi") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n", "copies")
     wanted, large = regions(written(inside, "inside"))
     if large is not None:
         # Merged regions that grew too large: once more, with the sketches' bound on every pair that meets.
         sums = large.agg(F.sum("n"), F.max("n")).first()
         texts = docs.select("doc_id", "text").join(sized(large, 48), F.col("doc_id") == F.col("rep")).select("rep", "hi", "lo", "text")
         finer = components(refined_edges(texts, words, percent, *sums))
-        finer = large.join(finer, F.col("rep") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n")
+        finer = large.join(finer, F.col("rep") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n", "copies")
         finer, large = regions(written(finer, "finer"))
         # Reps stand for regions of either round; the sign keeps them apart.
         wanted = wanted.unionByName(finer.withColumn("region", F.struct(F.lit(1).alias("round"), F.col("region.region").alias("region"))))
-    edges = solve(fetch(docs, written(wanted, "wanted"), words), percent)
+    solved = solve(fetch(docs, written(wanted, "wanted"), words), percent, counted)
     if large is not None:
-        edges = edges.unionByName(large_links(written(fetch(docs, large, words), "large"), percent))
+        solved = solved.unionByName(large_links(written(fetch(docs, large, words), "large"), percent, counted))
+    solved = written(solved, "solved") if counted else solved
+    edges = solved.where("a IS NOT NULL").select("a", "b")
     # A doc_id that has several texts ties their components.
     several = named.select("doc_id", "hi", "lo", "n").distinct().groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
     extra = named.join(sized(several, 32), "doc_id").join(nodes, ["hi", "lo", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots = written(components(edges.unionByName(extra)), "roots")
-    copied = nodes.where("copies > 1").select("hi", "lo", "rep")
+    copied = nodes.where("copies > 1").select("hi", "lo", "rep", "copies")
     out = every.join(sized(written(copied, "copied"), 40), ["hi", "lo"], "left")
     out = out.withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
     out = out.join(sized(roots, 32), F.col("rep") == F.col("node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("root", "rep")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    columns = ["doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")]
+    if not counted:
+        return out.select(*columns)
+    links = written(solved.where("node IS NOT NULL").groupBy(F.col("node").alias("hi")).agg(F.sum("links").alias("links")), "links")
+    out = out.withColumnRenamed("node", "root_of").join(sized(links, 16), "hi", "left")
+    n_links = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).otherwise(0)
+    return out.select(*columns, n_links.cast("long").alias("n_links"))
 
 
 def regions(inside: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -541,28 +605,29 @@ def regions(inside: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     sizes = inside.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
     sizes = written(sizes, "regions")
     small = (F.col("m") <= REGION_NODES) & (F.col("total") <= REGION_SHINGLES)
-    pick = lambda rows: inside.join(sized(rows.select("region"), 16), "region", "left_semi").select(F.struct(F.lit(0).alias("round"), F.col("region")).alias("region"), "rep", "hi", "lo", "n")
+    pick = lambda rows: inside.join(sized(rows.select("region"), 16), "region", "left_semi").select(F.struct(F.lit(0).alias("round"), F.col("region")).alias("region"), "rep", "hi", "lo", "n", "copies")
     large = sizes.where(~small)
     return pick(sizes.where(small)), None if large.isEmpty() else written(pick(large), "oversize")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """region, rep, n, shingles of the nodes wanted, from the text of the document that stands for each."""
-    texts = docs.select("doc_id", "text").join(sized(wanted, 64), F.col("doc_id") == F.col("rep")).select(F.col("region").cast("string").alias("region"), "rep", "hi", "lo", "n", "text")
+    """The sets (SET) of the nodes wanted, from the text of the document that stands for each."""
+    texts = docs.select("doc_id", "text").join(sized(wanted, 64), F.col("doc_id") == F.col("rep")).select(F.col("region").cast("string").alias("region"), "rep", "hi", "lo", "n", "copies", "text")
 
     def run(batches):
         import pyarrow as pa
 
         for batch in chunks(batches, BATCH_BYTES):
-            sets = shingle_sets(*utf8(batch.column(5)), words)
+            sets = shingle_sets(*utf8(batch.column(6)), words)
             hi, lo = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             # The doc_id may have other texts, too.
             mine = pa.array([i for i, s in enumerate(sets) if signature(s) == (hi[i], lo[i])], pa.int64())
             part = batch.take(mine)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(4), pa.array([sets[i].tobytes() for i in mine.to_pylist()], pa.binary())], names=["region", "rep", "n", "shingles"])
+            raws = pa.array([sets[i].tobytes() for i in mine.to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(4), raws, part.column(2), part.column(5), pa.array([b""] * len(mine), pa.binary())], names=list(SET))
 
-    return texts.mapInArrow(lean(run), "region string, rep long, n long, shingles binary")
+    return texts.mapInArrow(lean(run), SET_SCHEMA)
 
 
 def op2_jaccard_components(spark, sf_dir: str) -> DataFrame:
-    return link(documents(spark, sf_dir))
+    return link(documents(spark, sf_dir), counted=True)

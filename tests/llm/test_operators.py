@@ -111,6 +111,40 @@ def test_jaccard(spark, texts, monkeypatch, limits):
         assert got == brute_links(texts, words, percent)
 
 
+def brute_counts(rows, words, percent):
+    sets = []
+    for i, t in rows:
+        w = [x.lower() for x in WORD.findall((t or "").encode())]
+        sets.append((i, frozenset(tuple(w[a : a + words]) for a in range(len(w) - words + 1)) if len(w) >= words else frozenset([tuple(w)] if w else [])))
+    known = {(i, s) for i, s in sets if i is not None and s}
+    near = lambda s, u: 100 * len(s & u) >= percent * len(s | u)
+    return Counter((i, len(s), sum((j, u) != (i, s) and near(s, u) for j, u in known) if i is not None and s else 0) for i, s in sets)
+
+
+@pytest.mark.parametrize("limits", [None, (4, 2000, 5), (3, 400, 1)])
+def test_jaccard_counts_links(spark, texts, monkeypatch, limits):
+    if limits:
+        for name, value in zip(("REGION_NODES", "REGION_SHINGLES", "MOST_SPLITS"), limits, strict=True):
+            monkeypatch.setattr(jaccard, name, value)
+    for words, percent in ((4, 85), (2, 60)):
+        got = jaccard.link(docs_frame(spark, texts), words, percent, counted=True).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in got) == brute_counts(texts, words, percent)
+        assert sorted((tuple(r)[:3] for r in got), key=repr) == brute_links(texts, words, percent)
+
+
+def test_links_within_a_region(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(jaccard, "STEP_SETS", 7)
+    for cells, unfolded in ((1 << 20, 1 << 20), (300, 50), (1, 9)):
+        monkeypatch.setattr(jaccard, "DENSE_CELLS", cells)
+        monkeypatch.setattr(jaccard, "UNFOLDED", unfolded)
+        base = rng.integers(1, 2**60, 60).astype(np.uint64)
+        sets = sorted((np.unique(np.r_[base[rng.random(60) > 0.1], rng.integers(1, 40, rng.integers(1, 9)).astype(np.uint64)]) for _ in range(80)), key=len)
+        copies, lower = rng.integers(1, 5, 80), rng.integers(0, 3, (80, 2)).astype(np.uint32)
+        want = [sum(int(c) for y, c, o in zip(sets, copies, lower, strict=True) if y is not x and not (l & o).any() and 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))) for x, l in zip(sets, lower, strict=True)]
+        assert any(want) and jaccard.Region(sets, 75).links(copies, lower).tolist() == want
+
+
 def test_jaccard_of_nothing(spark, texts):
     assert jaccard.link(docs_frame(spark, texts).limit(0)).count() == 0
     assert [tuple(r) for r in jaccard.link(docs_frame(spark, [(1, None), (2, "")])).orderBy("doc_id").collect()] == [(1, 0, 1), (2, 0, 2)]
