@@ -26,7 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays; of its repeated rows, one."""
+    """Of each group of near copies the document with the smallest doc_id stays; of its repeated rows (the same doc_id
+    and text), one. Rows that share a doc_id but hold different texts stay or go together."""
     linked = written(jaccard.link(docs, WORDS, PERCENT), "linked")
     lost = linked.where("component_id <> doc_id").select(F.col("doc_id").alias("lost")).distinct()
     kept = docs.join(sized(lost, 16), F.col("doc_id") == F.col("lost"), "left_anti")
@@ -37,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return kept
     single = kept.join(sized(often, 16), F.col("doc_id") == F.col("often"), "left_anti")
     several = kept.join(sized(often, 16), F.col("doc_id") == F.col("often"), "left_semi")
-    return single.unionByName(several.dropDuplicates(["doc_id"]))
+    return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

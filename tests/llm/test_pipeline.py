@@ -64,6 +64,12 @@ def test_near_duplicate_stage(spark, documents, texts, tmp_path):  # noqa: F811
     assert staged(spark, documents.limit(0), "n-gram Jaccard join", tmp_path / "none").count() == 0
 
 
+def test_near_duplicate_stage_keeps_all_texts_of_a_doc_id(spark, tmp_path):
+    rows = [(1, "alpha beta gamma delta epsilon zeta"), (1, "one two three four five six seven"), (1, "alpha beta gamma delta epsilon zeta"), (2, "red green blue black white grey")]
+    out = staged(spark, docs_frame(spark, rows), "n-gram Jaccard join", tmp_path)
+    assert Counter(texts_of(out)) == Counter(set(rows))
+
+
 def test_repeats_stage(spark, documents, texts, tmp_path):  # noqa: F811
     out = staged(spark, documents, "suffix-array dedup", tmp_path)
     assert out.columns == documents.columns
