@@ -6,7 +6,7 @@ most t. The join works by regions that get smaller, each exact:
 1. Equal sets are one node (a 128-bit signature); copies never meet as pairs.
 2. Texts hardly overlap, so most distances to any document are 1 and document pivots alone part nothing. The first pivot
    is the empty set, under the other metric of sets, the size d of the symmetric difference: the distance to it is a
-   set's size, and regions are size classes; a set also enters the next class if a similar set may lie there (triangle
+   set's size, and regions are size classes; a set also enters every larger class that a similar set may lie in (triangle
    inequality). Similar sets of a class have d <= k, a bound by the class's largest size. Hashes part all shingles into
    more than k slots; d is the sum over slots, so similar sets agree in some slot that isn't empty. Each set enters the
    region of each of its slots' contents; sets with so many empty slots that this proves nothing enter the regions of
@@ -87,7 +87,7 @@ def region_keys(s: np.ndarray, percent: int, tops: np.ndarray) -> list[tuple[int
     n = len(s)
     c = int(np.searchsorted(tops, n))
     keys = []
-    for tag in (c, c + 1) if n * 100 // percent > tops[c] and c + 1 < len(tops) else (c,):
+    for tag in range(c, min(int(np.searchsorted(tops, n * 100 // percent)), len(tops) - 1) + 1):
         k = int(tops[tag]) * (100 - percent) // percent
         slots = k + 1 + k // 8
         slot = ((s >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)

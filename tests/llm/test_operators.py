@@ -167,6 +167,17 @@ def test_region_keys_meet_whenever_sets_are_similar():
                 assert len(np.intersect1d(*(np.concatenate([k for _, _, k in jaccard.region_keys(s, percent, tops)]) for s in (x, y))))
 
 
+def test_region_keys_reach_classes_further_up():
+    """With a low percent a similar set may lie two classes up or more: every subset that is similar by size alone."""
+    rng = np.random.default_rng(11)
+    tops = jaccard.class_tops(1000)
+    for percent in (30, 50, 60):
+        for n in range(1, 120):
+            y = np.unique(rng.integers(0, 2**63, n * 100 // percent).astype(np.uint64))
+            keys = [np.concatenate([k for _, _, k in jaccard.region_keys(s, percent, tops)]) for s in (np.sort(rng.permutation(y)[:n]), y)]
+            assert len(np.intersect1d(*keys)), (percent, n)
+
+
 # 3 and 4
 
 
