@@ -47,7 +47,7 @@ def gram_size(least: int) -> int:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers 0 to n, and their inverses, modulo 2**64."""
     if not _powers or len(_powers["up"]) <= n:
-        size = max(n + 1, 1 << 21)
+        size = max(n + 1, 5 << 17)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             out = np.full(size, np.uint64(base))
             out[0] = 1
@@ -427,4 +427,6 @@ def cut(docs: DataFrame, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)
 
 
 def op6_repeated_spans(spark, sf_dir: str) -> DataFrame:
-    return cut(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """Beside the digests: n_kept, and text, the kept bytes as text (a character that a span cuts through is replaced)."""
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")]
+    return cut(documents(spark, sf_dir)).select(*columns, F.octet_length("kept").cast("long").alias("n_kept"), F.make_valid_utf8("kept").alias("text"))
