@@ -1,10 +1,10 @@
 """Best-fit packing of tokenized documents into sequences, by bin completion over the histogram of piece lengths.
 
-Lengths are at most CAP, so the problem to solve is a histogram of at most CAP numbers, whatever the corpus. Each step
-takes the largest length left, enumerates undominated fillings of the room beside it (longest items first; a filling is
-left out if one item of the same total exists, as that one dominates it), keeps the one of least waste and applies it as
-often as the counts allow. Best-fit decreasing gives the first incumbent; a branch is cut once its waste exceeds what
-the incumbent leaves. The plan is a list of patterns with multiplicities. Pieces then find their places by their rank
+Lengths are at most CAP, so the problem to solve is a histogram of at most CAP numbers, whatever the corpus. Branch and
+bound: each step takes the largest length left and branches over the undominated fillings of the room beside it, those
+without waste first (one item of the same total dominates two), applied as often as the counts allow or once. Best-fit
+decreasing gives the first incumbent, each better plan the next; a branch is cut once its waste, or the lower bound of what
+it leaves, shows that it can't beat the incumbent. The plan is a list of patterns with multiplicities. Pieces then find their places by their rank
 within their length; ranks are dealt in two levels (buckets of RANK_ROWS pieces), so that no length meets in one task.
 
 Defined results: null and empty texts are one piece holding the end id only; repeated rows are packed as documents of
@@ -14,7 +14,7 @@ their own; an empty table gives no rows; other columns of the input are ignored;
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -26,10 +26,12 @@ from .common import chunks, documents, lean, sized, tune, utf8, written
 CAP = 2048
 END_ID = 0
 RANK_ROWS = 2000
-#: Words that a worker's encoder keeps: few, as packing comes last in the pipeline, when the executor's heap has grown.
+#: Words that a worker's encoder keeps.
 CACHE_WORDS = 500_000
-#: Fillings looked at for one bin, and restarts that take a second choice at one of the first bins.
-NODES, RESTARTS = 4000, 4
+#: Steps of the search for a plan: fillings looked at, over all bins, and CHOICE_STEPS for each bin chosen; some 20 seconds at
+#: most. Where they end before a plan reaches the lower bound or all others are excluded, the best one so far is used. Plans
+#: of few lengths (EXACT_LENGTHS) use a tighter bound and remember what was left.
+STEPS, CHOICE_STEPS, EXACT_LENGTHS = 2_000_000, 20, 64
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -80,89 +82,129 @@ def best_fit_decreasing(hist: dict[int, int], cap: int) -> list[tuple[tuple[int,
     return [(items, n) for group in open_bins.values() for items, n in group]
 
 
-def fillings(lengths: list[int], left: dict[int, int], room: int, want: int = 2) -> list[tuple[int, ...]]:
-    """The undominated fillings of room of least waste, at most want of them; stops at the first without waste."""
-    found: list[tuple[int, tuple[int, ...]]] = []
-    nodes = 0
-    smallest = lengths[-1] if lengths else room + 1
-
-    def go(at: int, room: int, items: tuple[int, ...], used: dict[int, int]) -> bool:
-        nonlocal nodes
-        nodes += 1
-        if left.get(room, 0) > used.get(room, 0) and (not items or room <= items[-1]):
-            found.append((0, (*items, room)))
-            return True
-        if room < smallest or nodes > NODES:
-            found.append((room, items))
-            return False
-        stuck = True
-        for i in range(at, len(lengths)):
-            l = lengths[i]
-            if l > room or left[l] <= used.get(l, 0):
-                continue
-            if items and left.get(items[-1] + l, 0) > used.get(items[-1] + l, 0) and len(items) == 1:
-                continue  # one item of the same total dominates the two
-            if found and room - l > 0 and nodes > NODES:
-                break
-            stuck = False
-            used[l] = used.get(l, 0) + 1
-            done = go(i, room - l, (*items, l), used)
-            used[l] -= 1
-            if done:
-                return True
-        if stuck:
-            found.append((room, items))
-        return False
-
-    at = next((i for i, l in enumerate(lengths) if l <= room), len(lengths))
-    go(at, room, (), {})
-    found.sort(key=lambda f: (f[0], len(f[1])))
-    return list(dict.fromkeys(f for _, f in found))[:want] or [()]
-
-
-def complete_bins(hist: dict[int, int], cap: int, limit: int, second_at: int | None = None) -> list[tuple[tuple[int, ...], int]] | None:
-    """One descent of the search; None once its waste shows that it can't need fewer than limit bins."""
-    left = {l: n for l, n in hist.items() if n}
-    lengths = sorted(left, reverse=True)
-    allowed = (limit - 1) * cap - sum(l * n for l, n in left.items())
-    plan, waste, step = [], 0, 0
-    while lengths:
-        big = lengths[0]
-        left[big] -= 1
-        options = fillings(lengths, left, cap - big)
-        left[big] += 1
-        items = (big, *options[min(len(options) - 1, int(step == second_at))])
-        need = {l: items.count(l) for l in set(items)}
-        times = min(left[l] // c for l, c in need.items())
-        if len(options) > 1 and step == second_at:
-            times = 1
-        plan.append((items, times))
-        for l, c in need.items():
-            left[l] -= c * times
-            if not left[l]:
-                del left[l]
-                lengths.remove(l)
-        waste += (cap - sum(items)) * times
-        if waste > allowed:
-            return None
-        step += 1
-    return plan
-
-
-def plan(hist: dict[int, int], cap: int = CAP) -> list[tuple[tuple[int, ...], int]]:
+class Spent(Exception):
+    """The search has used up its steps."""
+
+
+class Search:
+    """Branch and bound over bins: depth first, with the best plan so far as incumbent."""
+
+    def __init__(self, hist: dict[int, int], cap: int, incumbent: list, bound: int, steps: int):
+        self.cap, self.bound, self.steps = cap, bound, steps
+        self.left = {l: n for l, n in hist.items() if n}
+        self.lengths = sorted(self.left, reverse=True)
+        self.total = self.rest = sum(l * n for l, n in self.left.items())
+        self.best, self.most = incumbent, sum(n for _, n in incumbent)
+        self.exact = len(self.left) <= EXACT_LENGTHS
+        self.seen: dict[tuple, int] = {}
+
+    def fillings(self):
+        """Bins for the largest length left, with undominated fillings beside it: at once if one leaves no waste, the others in
+        order of their waste. Only maximal ones are given, and none that holds two items where one of their total exists; one
+        item of the whole room dominates all."""
+        left, lengths = self.left, self.lengths
+        big, n = lengths[0], len(lengths)
+        if left.get(self.cap - big, 0) > (self.cap == 2 * big):
+            yield big, self.cap - big
+            return
+        keys = [-l for l in lengths]
+        given: set[tuple[int, ...]] = set()
+        others: list[tuple[int, tuple[int, ...]]] = []
+
+        def go(at: int, room: int, items: tuple[int, ...]):
+            self.steps -= 1
+            if self.steps < 0:
+                raise Spent
+            fits = bisect_left(keys, -room, 0, n)
+            if fits < n and lengths[fits] == room and left[room] > items.count(room):
+                whole = (big, *sorted((*items[1:], room), reverse=True))
+                if whole not in given:
+                    given.add(whole)
+                    yield whole
+            if not any(left[l] > items.count(l) for l in reversed(lengths[fits:])):
+                if room and items not in given:
+                    given.add(items)
+                    others.append((room, items))
+                return
+            for j in range(max(at, fits), n):
+                l = lengths[j]
+                if len(items) == 2 and left.get(items[1] + l, 0) > ((big == items[1] + l) + (l == items[1])):
+                    continue
+                for c in range(min(left[l] - (l == big), room // l), 0, -1):
+                    if c == 2 and len(items) == 1 and left.get(2 * l, 0) > (2 * l == big):
+                        continue
+                    if c * l < room:
+                        yield from go(j + 1, room - c * l, (*items, *(l,) * c))
+
+        yield from go(0, self.cap - big, (big,))
+        for _, items in sorted(others, key=lambda f: (f[0], len(f[1]))):
+            yield items
+
+    def options(self):
+        """What may be done with the largest length left: a bin of it, as often as the counts allow, or once."""
+        once = []
+        for items in self.fillings():
+            times = min(self.left[l] // items.count(l) for l in set(items))
+            if times > 1:
+                once.append(items)
+            yield items, times
+        for items in once:
+            yield items, 1
+
+    def change(self, items: tuple[int, ...], times: int) -> None:
+        for l in set(items):
+            n = self.left.get(l, 0) - items.count(l) * times
+            if n:
+                if l not in self.left:
+                    insort(self.lengths, l, key=lambda x: -x)
+                self.left[l] = n
+            else:
+                del self.left[l]
+                self.lengths.remove(l)
+        self.rest -= sum(items) * times
+
+    def run(self) -> list[tuple[tuple[int, ...], int]]:
+        plan: list[tuple[tuple[int, ...], int]] = []
+        used, stack = 0, [self.options()] if self.left else []
+        try:
+            while stack and self.most > self.bound:
+                if len(plan) == len(stack):
+                    items, times = plan.pop()
+                    self.change(items, -times)
+                    used -= times
+                choice = next(stack[-1], None)
+                if choice is None:
+                    stack.pop()
+                    continue
+                self.steps -= CHOICE_STEPS
+                self.change(*choice)
+                plan.append(choice)
+                used += choice[1]
+                # The waste of the bins so far leaves too little room for what remains to beat the incumbent.
+                fewest = used + (lower_bound(self.left, self.cap) if self.exact else -(-self.rest // self.cap))
+                known = self.exact and self.left and self.seen.get(state := tuple(sorted(self.left.items())), used + 1) <= used
+                if fewest >= self.most or known:
+                    stack.append(iter(()))
+                elif not self.left:
+                    self.best, self.most = list(plan), used
+                    stack.append(iter(()))
+                else:
+                    if self.exact:
+                        self.seen[state] = used
+                    stack.append(self.options())
+        except Spent:
+            pass
+        return self.best
+
+
+def plan(hist: dict[int, int], cap: int = CAP, steps: int = STEPS) -> list[tuple[tuple[int, ...], int]]:
     """Patterns and how often each is used; every length of the histogram is used exactly as often as it occurs."""
     if not hist:
         return []
-    bound = lower_bound(hist, cap)
-    best = best_fit_decreasing(hist, cap)
-    for second_at in [None, *range(RESTARTS)]:
-        if sum(n for _, n in best) <= bound:
-            break
-        best = complete_bins(hist, cap, sum(n for _, n in best), second_at) or best
-    return best
+    return Search(hist, cap, best_fit_decreasing(hist, cap), lower_bound(hist, cap), steps).run()
 
 
-def cut(docs: DataFrame, path: str | None = None, cap: int = CAP, end_id: int = END_ID, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def cut(docs: DataFrame, path: str | None = None, cap: int = CAP, end_id: int = END_ID, keep: tuple[str, ...] = ("doc_id",), cache_words: int = CACHE_WORDS) -> DataFrame:
     """The pieces of every document: keep, piece, start, length, ids_crc32."""
     tune(docs.sparkSession)
     path = path or tokens.default_path()
@@ -171,7 +213,7 @@ def cut(docs: DataFrame, path: str | None = None, cap: int = CAP, end_id: int =
     def run(batches):
         import pyarrow as pa
 
-        enc, last = tokens.encoder(path, CACHE_WORDS), np.asarray([end_id], "<u4").tobytes()
+        enc, last = tokens.encoder(path, cache_words), np.asarray([end_id], "<u4").tobytes()
         for batch in chunks(batches, 4 << 20, "__text"):
             raw, at = utf8(batch.column(batch.num_columns - 1))
             raw, at = raw.tobytes(), at.tolist()
@@ -189,7 +231,7 @@ def cut(docs: DataFrame, path: str | None = None, cap: int = CAP, end_id: int =
             kept = [batch.column(i).take(index) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=[*keep, "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run), f"{fields}, {PIECE}")
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run, keeps_words=True), f"{fields}, {PIECE}")
 
 
 def pack(pieces: DataFrame, cap: int = CAP) -> DataFrame:
