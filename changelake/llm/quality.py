@@ -21,9 +21,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, lean, mix64, tune, utf8
+from .common import chunks, documents, lean, mix64, tune, utf8, written
 
 SAMPLE_DOCS = 6000
+#: Tasks that sum the sample up.
+SAMPLE_TASKS = 16
 DIM, NONZERO, BUCKETS = 48, 4, 1 << 13
 HIDDEN, EPOCHS, RATE, SEED = 48, 120, 0.004, 7
 THRESHOLD = 0.7
@@ -186,7 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", most: int =
     h = F.xxhash64("doc_id")
     # About `most` rows by hash; the limit only holds where hashes fall unevenly.
     known = known.where(F.pmod(h, F.lit(max(1, n))) < most).orderBy(h, "doc_id").limit(most)
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # The sample is bounded, so it is dealt to a few tasks, each of which gives one table of sums, whatever the input's partitions.
+    sample = written(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").repartition(SAMPLE_TASKS, "doc_id"), "sample")
 
     def count(batches):
         import pyarrow as pa
