@@ -1,7 +1,7 @@
 """Language identification by compression: a text belongs to the language whose raw-content dictionary shrinks it most.
 
 For each language of the learnable rows a bounded sample (SAMPLE_DOCS documents, DICT_BYTES bytes) becomes a zstandard
-raw-content dictionary. Every whole text is compressed with each dictionary, in blocks of BLOCK_BYTES that each start from
+raw-content dictionary; all dictionaries together are bounded by ALL_BYTES. Every whole text is compressed with each dictionary, in blocks of BLOCK_BYTES that each start from
 the fresh dictionary: one stream would leave the dictionary behind its window, and the rest of a long text would speak for no
 language. The sizes are summed over all blocks; the smallest sum wins, ties go to the language with more learnable documents.
 The score is the winner's margin over the next language; classify() rejects margins under
@@ -19,10 +19,12 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, lean, tune
+from .common import documents, lean, sized, tune
 
 SAMPLE_DOCS = 160
 DICT_BYTES = 96 << 10
+#: All dictionaries together; with so many languages that it would be more, each is smaller.
+ALL_BYTES = 16 << 20
 #: Matches of 4 bytes count, which short words need; the window holds a dictionary and a block with room to spare.
 MIN_MATCH, WINDOW_LOG, TABLE_LOG, SEARCH_LOG = 4, 18, 17, 3
 BLOCK_BYTES = 32 << 10
@@ -46,23 +48,24 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     step = F.greatest(F.lit(1), F.floor(F.col("n") / (2 * SAMPLE_DOCS))).cast("long")
     order = F.xxhash64(F.col("doc_id"))
-    thin = labelled.join(F.broadcast(counts), "lang").where(F.pmod(order, step) == 0)
+    thin = labelled.join(sized(counts, 32), "lang").where(F.pmod(order, step) == 0)
     # The smallest hashes of a thinned language; long documents after short ones, so that the sample stays small.
     thin = thin.select("lang", F.struct((F.octet_length("text") > 8192).alias("late"), order.alias("o"), "doc_id", "text").alias("d"))
     best = thin.groupBy("lang", F.pmod(F.xxhash64("d.doc_id"), F.lit(8)).alias("s")).agg(F.slice(F.array_sort(F.collect_list("d")), 1, SAMPLE_DOCS // 8).alias("ds"))
     found: dict[str, list] = {}
-    often = {r.lang: r.n for r in counts.collect()}
+    often = {r.lang: r.n for r in counts.collect()}  # one row a language
+    room = min(DICT_BYTES, ALL_BYTES // max(1, len(often)))
     for r in best.select("lang", F.explode("ds").alias("d")).select("lang", "d.late", "d.o", "d.text").collect():
         found.setdefault(r.lang, []).append((r.late, r.o, r.text))
     out = {}
     for lang, docs in sorted(found.items(), key=lambda f: (-often[f[0]], f[0])):
         data, parts = 0, []
         for _, _, text in sorted(docs, key=lambda d: d[:2]):
-            if data >= DICT_BYTES:
+            if data >= room:
                 break
             parts.append(letters(text))
             data += len(parts[-1])
-        out[lang] = b" ".join(parts)[-DICT_BYTES:]
+        out[lang] = b" ".join(parts)[-room:]
     return out
 
 
