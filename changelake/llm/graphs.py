@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from .common import dropped, scratch, written
 
-MOST_ROUNDS = 60
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of edges (a, b): root is the smallest node of its component, itself included.
 
@@ -22,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     path = scratch(spark, "stars")
     stars = written(pairs(edges), "stars", path)
     before = mark(stars)
-    for _ in range(MOST_ROUNDS if before[0] else 0):
+    while before[0]:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
         linked = both.join(least, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -33,7 +30,4 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    else:
-        if before[0]:
-            raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(stars.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root")))
