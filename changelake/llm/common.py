@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if it was measured to need at most this.
-BROADCAST_BYTES, ITEM_BYTES = 64 << 20, 64
+BROADCAST_BYTES, ITEM_BYTES = 8 << 20, 64
 
 
 def tune(spark: SparkSession) -> None:
@@ -21,9 +21,9 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
 
 
-def lean(run):
+def lean(run, keeps_words: bool = False):
     """run, a function for mapInArrow, that gives the task's free memory back at its end: workers live on, and what their
-    allocators keep adds up beside the executor's heap."""
+    allocators keep adds up beside the executor's heap. Cached token ids stay only after tasks that use them (keeps_words)."""
 
     def wrapped(batches):
         try:
@@ -31,9 +31,12 @@ def lean(run):
         finally:
             import ctypes
             import gc
+            import sys
 
             import pyarrow as pa
 
+            if not keeps_words and (tokens := sys.modules.get(f"{__package__}.tokens")):
+                tokens.forget()
             gc.collect()
             pa.default_memory_pool().release_unused()
             try:
@@ -84,6 +87,13 @@ def sized(side: DataFrame, row_bytes: int, *varying: str) -> DataFrame:
     return F.broadcast(side) if total <= BROADCAST_BYTES else side
 
 
+def rested(spark: SparkSession) -> None:
+    """Executors give their free heap back: between the stages of a pipeline a JVM would otherwise keep the most that any stage
+    took, beside the Python workers of the next. One short task a core; System.gc() by SQL's reflect."""
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -54,6 +54,11 @@ class Encoder(dict):
         return [b"".join(map(self.__getitem__, pieces(t))) for t in texts]
 
 
+def forget() -> None:
+    """Drops what this worker has cached."""
+    _encoders.clear()
+
+
 def encoder(path: str, most: int = CACHE_WORDS) -> Encoder:
     """One encoder a worker process, with a cache of at most `most` words (about 250 bytes each); tasks that follow reuse it."""
     if path not in _encoders:

@@ -255,28 +255,52 @@ def test_plans_are_good():
         least, bins = best_possible(sizes, cap), sum(n for _, n in found)
         assert packing.lower_bound(Counter(sizes), cap) <= least <= bins
         worse += bins > least
-    assert worse <= 3
+    assert worse == 0
 
 
-def test_token_files(spark, texts, tokenizer, monkeypatch):
+def whole_documents(rows):
+    """(doc_id, start, ids) from parts of documents; each part's checksum holds for the document up to its end."""
+    parts = defaultdict(list)
+    for r in rows:
+        parts[r.start].append(r)
+    for start, own in sorted(parts.items()):
+        ids = b""
+        for r in sorted(own, key=lambda r: r.part_start):
+            assert r.part_start * 4 == len(ids)
+            ids += bytes(r.ids)
+            assert (r.n_tokens * 4, r.ids_crc32) == (len(ids), zlib.crc32(ids))
+        yield own[0].doc_id, start, ids
+
+
+@pytest.mark.parametrize("symbols", [1 << 15, 100])
+def test_token_files(spark, texts, tokenizer, monkeypatch, symbols):
     monkeypatch.setattr(token_files, "SEGMENT_IDS", 3000)
+    monkeypatch.setattr(token_files, "MOST_SYMBOLS", symbols)
     files = token_files.write(docs_frame(spark, texts))
-    rows = sorted(token_files.read(files).collect(), key=lambda r: r.start)
-    ids = [r.doc_id for r in rows]
+    found = list(whole_documents(token_files.read(files).collect()))
+    ids = [i for i, _, _ in found]
     assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
-    at = 0
-    for r in rows:
-        assert r.start == at and r.n_tokens * 4 == len(r.ids) and zlib.crc32(r.ids) == r.ids_crc32
-        at += r.n_tokens
-    assert Counter((r.doc_id, bytes(r.ids)) for r in rows) == Counter((i, ids_of(tokenizer, t, 2).tobytes()) for i, t in texts)
+    assert [start for _, start, _ in found] == np.cumsum([0, *(len(x) // 4 for _, _, x in found)])[:-1].tolist()
+    assert Counter((i, x) for i, _, x in found) == Counter((i, ids_of(tokenizer, t, 2).tobytes()) for i, t in texts)
+    briefly = token_files.read(files, with_ids=False).collect()
+    assert Counter(map(tuple, briefly)) == Counter((i, start, len(x) // 4, zlib.crc32(x)) for i, start, x in found)
     assert token_files.read(token_files.write(docs_frame(spark, texts).limit(0))).count() == 0
 
 
+def test_segments_hold_any_vocabulary():
+    rng = np.random.default_rng(3)
+    parts = [token_files.Part(k, rng.permutation(200_000).astype("<u4").tobytes()) for k in range(2)] + [token_files.Part(None, np.arange(49_000, dtype="<u4").tobytes())]
+    found = [token_files.Segment(data) for _, data in token_files.encode_segments(parts)]
+    assert all(len(s.symbols) <= token_files.MOST_SYMBOLS for s in found)
+    assert b"".join(s.decode().tobytes() for s in found) == b"".join(p.ids for p in parts)
+    assert sum(sum(s.last) for s in found) == 3
+
+
 def test_segments_round_trip_and_notice_damage():
     rng = np.random.default_rng(0)
     for ids in ([np.asarray([7])], [np.full(100_000, 3)], [rng.integers(0, 30_000, 50_000), np.asarray([2**31])], [rng.geometric(0.01, 20_000), np.zeros(0)]):
         parts = [np.asarray(x, "<u4").tobytes() for x in ids]
-        data = token_files.encode_segment([None, 5][: len(parts)], parts)
+        data = token_files.encode_segment([token_files.Part(d, x) for d, x in zip([None, 5], parts, strict=False)])
         s = token_files.Segment(data)
         assert s.decode().tobytes() == b"".join(parts)
         if s.blocks > 2:

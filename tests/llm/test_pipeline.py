@@ -99,6 +99,17 @@ def test_mixing_stage(spark, documents, tmp_path):
     assert staged(spark, documents.limit(0), "mixing sources to target weights", tmp_path / "none").count() == 0
 
 
+def test_stages_take_any_other_columns(spark, texts, tmp_path):  # noqa: F811
+    odd = ["d", "k", "size", "taken", "lost", "often", "__null", "kept", "n_bytes", "spans", "__key", "__n", "__words", "score", "lang_pred", "target", "tkey", "rep", "__other_3"]
+    docs = docs_frame(spark, [(i, t) for i, t in texts if t is None or len(t) < 2000], sources=["a", None, "hot"]).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.selectExpr("*", *[f"'{c}' AS `{c}`" for c in odd])
+    for name in list(STAGES)[:-1]:
+        out = staged(spark, docs, name, tmp_path / "odd")
+        assert out.columns == docs.columns
+        assert out.count() and {tuple(r) for r in out.select(*odd).distinct().collect()} == {tuple(odd)}
+    assert staged(spark, docs, "best-fit packing", tmp_path / "odd").count() >= docs.count()
+
+
 def test_packing_stage(spark, documents, texts, tmp_path):  # noqa: F811
     from tokenizers import Tokenizer
 
