@@ -3,28 +3,48 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of documents. See the operators for what they do with nulls, empty
 and long texts, ties, repeated rows and empty tables; where a stage decides by doc_id, rows with a null doc_id stay.
+Further columns may have any names, the operators' own included: they are carried along under neutral ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.llm import jaccard, language, mixing, packing, repeats
-from changelake.llm.common import documents, lean, sized, written
+from changelake.llm.common import documents, lean, rested, sized, written
 
 #: Near duplicates: shingles of five words, similarity 0.8. Passages of 50 words and more are about 240 bytes.
 WORDS, PERCENT, REPEAT_BYTES = 5, 80, 240
 #: A document is rejected if no language beats the next by this part of its compressed size.
 MIN_MARGIN = 0.005
+#: The columns that stages know, and the words that a worker of the last stage keeps: few, beside a heap that has grown.
+KNOWN, CACHE_WORDS = ("doc_id", "text", "lang", "source", "n_chars"), 150_000
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def apart(stage: Stage) -> Stage:
+    """stage, with the columns that it doesn't know under neutral names, and on executors that gave their free heap back."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rested(spark)
+        inner = [c if c in KNOWN else f"__other_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*inner), sf_dir).toDF(*docs.columns)
+
+    return run
 
 
+@apart
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told: no letter, or a margin under MIN_MARGIN."""
     found = language.classify(docs, language.learn(language.learnable(docs)), MIN_MARGIN, tuple(c for c in docs.columns if c != "text"), with_text=True)
     return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
+@apart
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id stays; of its repeated rows (the same doc_id
     and text), one. Rows that share a doc_id but hold different texts stay or go together."""
@@ -41,6 +61,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
+@apart
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes passages of REPEAT_BYTES bytes and more that occur elsewhere; null texts stay null."""
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
@@ -49,6 +70,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@apart
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; a document taken in part is cut after its last word taken."""
     key = F.xxhash64("text")
@@ -90,7 +112,8 @@ def _first_words(part: DataFrame, docs: DataFrame) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in the sequences."""
-    return packing.pack(written(packing.cut(docs), "pieces"))
+    rested(spark)
+    return packing.pack(written(packing.cut(docs, cache_words=CACHE_WORDS), "pieces"))
 
 
 STAGES = [("language ID", language_id), ("n-gram Jaccard join", near_duplicates), ("suffix-array dedup", repeated_spans), ("mixing sources to target weights", mixed), ("best-fit packing", packed)]
