@@ -2,7 +2,8 @@
 
 A key's state is an ordered list of entries: the row the destination held before (START), or rows of this group. Inserts
 append; updates replace, and deletes remove, the entry they target. With several entries the before-image decides which;
-where it can't, the fold refuses (`ambiguous`) rather than guess. The whole state machine is one `aggregate` over the
+where it can't, the fold refuses (`ambiguous`) rather than guess. A truncate clears every key of its table: operations carry
+the number of truncates before them, so that none is copied to the keys. The whole state machine is one `aggregate` over the
 key's ordered operations, inside the JVM. A group of one key is sequential by meaning and can't be salted; commit groups
 bound its length.
 """
@@ -15,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from . import ranges
 
 ROW = "map<string,string>"
 ENTRY = f"struct<start:boolean,row:{ROW}>"
-STATE = f"struct<live:array<{ENTRY}>,truncated:boolean,removed:bigint,ambiguous:string,txn:bigint>"
+STATE = f"struct<live:array<{ENTRY}>,epoch:bigint,cut_txn:string,dropped:array<struct<epoch:bigint,rows:int>>,ambiguous:string,txn:string>"
 
 
 def last_writer(log: DataFrame, keys: list[str], order: str = "lsn") -> DataFrame:
@@ -29,20 +31,25 @@ def last_writer(log: DataFrame, keys: list[str], order: str = "lsn") -> DataFram
     return last.where(F.col("last.op") != S.DELETE).select(*keys, "last.*")
 
 
-def key_operations(log: DataFrame, target: str = "target", key: str = "key") -> DataFrame:
+def cuts(log: DataFrame, target: str = "target") -> DataFrame:
+    """The truncates (op t) of a log: target, seq, txn, and epoch, their number within their target from 0."""
+    rows = log.where(F.col("op") == S.TRUNCATE).select(target, "seq", F.col("txn").cast("string").alias("txn"))
+    return ranges.running_sum(rows, [target], "seq", F.lit(1), "epoch").withColumn("epoch", F.col("epoch") - 1)
+
+
+def key_operations(log: DataFrame, target: str = "target", key: str = "key", parts: int | None = None) -> DataFrame:
     """Events as per-key operations: an update that changes the key removes the old key and places the new one. log has
-    target, key, old_key, seq, txn, op, before, row (maps). Truncates (op t) go to every key of their target."""
+    target, key, old_key, seq, txn, op, before, row (maps). A truncate (op t) reaches every key of its target, so operations
+    carry their epoch (the truncates before them) and the transaction of the truncate that ends it (cut_txn), if any."""
+    marked = ranges.running_sum(log, [target], "seq", (F.col("op") == S.TRUNCATE).cast("long"), "epoch", parts)
+    ends = marked.where(F.col("op") == S.TRUNCATE).select(F.col(target).alias("__t"), (F.col("epoch") - 1).alias("__e"), F.col("txn").cast("string").alias("cut_txn"))
     moved = (F.col("op") == S.UPDATE) & F.col("old_key").isNotNull() & (F.col("old_key") != F.col(key))
     kind = F.when(F.col("op").isin(S.INSERT, S.SNAPSHOT_READ), "place").when(F.col("op") == S.UPDATE, "update").when(F.col("op") == S.DELETE, "remove")
-    part = lambda k, what, n: F.struct(k.alias("key"), what.alias("kind"), (F.col("seq") * 2 + n).alias("seq"), F.col("txn"), F.col("before"), F.col("row"))
+    part = lambda k, what, n: F.struct(k.alias("key"), what.alias("kind"), (F.col("seq") * 2 + n).alias("seq"), F.col("txn").cast("string").alias("txn"), F.col("before"), F.col("row"))
     steps = F.when(moved, F.array(part(F.col("old_key"), F.lit("remove"), 0), part(F.col(key), F.lit("place"), 1))).otherwise(F.array(part(F.col(key), kind, 1)))
-    rows = log.where(F.col("op") != S.TRUNCATE).select(target, F.explode(steps).alias("s")).select(target, "s.*")
-    cuts = log.where(F.col("op") == S.TRUNCATE).select(target, (F.col("seq") * 2).alias("seq"), "txn")
-    cuts = cuts.groupBy(target).agg(F.collect_list(F.struct("seq", "txn")).alias("cuts"))
-    # Truncates are few; each touched key gets all of its target's.
-    touched = rows.select(target, "key").distinct().join(F.broadcast(cuts), target).select(target, "key", F.explode("cuts").alias("c"))
-    extra = touched.select(target, "key", F.lit("truncate").alias("kind"), "c.seq", "c.txn", F.lit(None).cast(ROW).alias("before"), F.lit(None).cast(ROW).alias("row"))
-    return rows.unionByName(extra)
+    rows = marked.where(F.col("op") != S.TRUNCATE).select(target, "epoch", F.explode(steps).alias("s")).select(target, "epoch", "s.*")
+    rows = rows.join(ends, (F.col(target) == F.col("__t")) & (F.col("epoch") == F.col("__e")), "left")
+    return rows.drop("__t", "__e")
 
 
 def _concrete(live: Column) -> Column:
@@ -62,52 +69,82 @@ def _target(live: Column, telling: Column) -> Column:
     return F.when(F.size(live) == 0, F.lit(-1)).when(F.size(live) == 1, F.lit(0)).otherwise(several)
 
 
-def _state(live, truncated, removed, ambiguous, txn) -> Column:
-    return F.struct(live.alias("live"), truncated.alias("truncated"), removed.alias("removed"), ambiguous.alias("ambiguous"), txn.alias("txn")).cast(STATE)
+def _cleared(a: Column) -> Column:
+    """The state once the truncate that ends its epoch has run: it is recorded how many of this group's rows went."""
+    gone = F.struct(a["epoch"].alias("epoch"), F.size(_concrete(a["live"])).alias("rows"))
+    return F.concat(a["dropped"], F.array(gone))
+
+
+def _torn(a: Column, txn: Column) -> Column:
+    """A transaction that ends with two rows under one key never was: the stream was misread."""
+    return F.coalesce(a["txn"] != txn, a["txn"].isNotNull()) & (F.size(_concrete(a["live"])) > 1)
 
 
 def _step(keys: list[str]):
+    none = F.array().cast(f"array<{ENTRY}>")
+
     def step(a: Column, op: Column) -> Column:
         telling = F.filter(F.coalesce(F.map_entries(op["before"]), F.array().cast("array<struct<key:string,value:string>>")), lambda kv: ~kv["key"].isin(keys) & ~kv["value"].eqNullSafe(F.lit(S.UNAVAILABLE)))
-        # A transaction that ends with two rows under one key never was: the stream was misread.
-        torn = a["txn"].isNotNull() & (a["txn"] != op["txn"]) & (F.size(_concrete(a["live"])) > 1)
-        at = _target(a["live"], telling)
+        cut = op["epoch"] > a["epoch"]
+        torn = _torn(a, F.when(cut, a["cut_txn"]).otherwise(op["txn"]))
+        held = F.when(cut, none).otherwise(a["live"])
+        at = _target(held, telling)
         row = F.struct(F.lit(False).alias("start"), op["row"].alias("row")).cast(ENTRY)
-        none = F.array().cast(f"array<{ENTRY}>")
-        replaced = F.transform(a["live"], lambda e, i: F.when(i == at, row).otherwise(e))
-        removed = F.filter(F.transform(a["live"], lambda e, i: F.when(i != at, e)), lambda e: e.isNotNull())
+        replaced = F.transform(held, lambda e, i: F.when(i == at, row).otherwise(e))
+        removed = F.filter(F.transform(held, lambda e, i: F.when(i != at, e)), lambda e: e.isNotNull())
         aims = op["kind"].isin("update", "remove")
         lost = F.when(a["ambiguous"].isNotNull(), a["ambiguous"]).when(torn, "two rows at a transaction's end").when(aims & at.isNull(), "no single row matches")
         live = (
-            F.when(op["kind"] == "truncate", none).when(op["kind"] == "place", F.concat(a["live"], F.array(row)))
+            F.when(op["kind"] == "place", F.concat(held, F.array(row)))
             .when(op["kind"] == "update", F.when(at >= 0, replaced).otherwise(F.array(row))).otherwise(F.when(at >= 0, removed).otherwise(none))
         )
-        gone = a["removed"] + F.when(op["kind"] == "truncate", F.size(_concrete(a["live"]))).otherwise(0)
-        return _state(live, a["truncated"] | (op["kind"] == "truncate"), gone, lost, op["txn"])
+        return F.struct(
+            live.alias("live"), op["epoch"].alias("epoch"), op["cut_txn"].alias("cut_txn"), F.when(cut, _cleared(a)).otherwise(a["dropped"]).alias("dropped"), lost.alias("ambiguous"), op["txn"].alias("txn")
+        ).cast(STATE)
 
     return step
 
 
 def physical_fold(operations: DataFrame, destination: DataFrame, keys: list[str], target: str = "target") -> DataFrame:
-    """target, key, action (upsert, delete or keep), row, removed, ambiguous. destination: target, key, row (a map) of the
-    rows that exist; operations as key_operations() makes them."""
-    ops = operations.groupBy(target, "key").agg(F.collect_list(F.struct("seq", "txn", "kind", "before", "row")).alias("ops"))
+    """target, key, action (upsert, delete or keep), row, ambiguous, and dropped: for each truncate that met rows of this
+    group, its number within the target and how many. destination: target, key, row (a map) of the rows that exist; operations
+    as key_operations() makes them."""
+    ops = operations.groupBy(target, "key").agg(F.collect_list(F.struct("seq", "txn", "kind", "before", "row", "epoch", "cut_txn")).alias("ops"))
     ops = ops.withColumn("ops", F.array_sort("ops", lambda x, y: F.when(x["seq"] < y["seq"], -1).when(x["seq"] > y["seq"], 1).otherwise(0)))
     rows = ops.join(destination.select(target, "key", F.col("row").alias("held")), [target, "key"], "left")
-    start = F.when(F.col("held").isNotNull(), F.array(F.struct(F.lit(True).alias("start"), F.col("held").alias("row")).cast(ENTRY))).otherwise(F.array().cast(f"array<{ENTRY}>"))
-    seed = _state(start, F.lit(False), F.lit(0).cast("bigint"), F.lit(None).cast("string"), F.lit(None).cast("bigint"))
+    none = F.array().cast(f"array<{ENTRY}>")
+    start = F.when(F.col("held").isNotNull() & (F.col("ops")[0]["epoch"] == 0), F.array(F.struct(F.lit(True).alias("start"), F.col("held").alias("row")).cast(ENTRY))).otherwise(none)
+    nothing = F.lit(None).cast("string")
+    seed = F.struct(start.alias("live"), F.col("ops")[0]["epoch"].alias("epoch"), nothing.alias("cut_txn"), F.array().cast("array<struct<epoch:bigint,rows:int>>").alias("dropped"), nothing.alias("ambiguous"), nothing.alias("txn")).cast(STATE)
     rows = rows.withColumn("end", F.aggregate("ops", seed, _step(keys)))
-    left = _concrete(F.col("end.live"))
-    action = F.when(F.size(left) > 0, "upsert").when(F.size("end.live") > 0, "keep").otherwise("delete")
-    ambiguous = F.coalesce(F.col("end.ambiguous"), F.when(F.size(left) > 1, F.lit("two rows at a transaction's end")))
-    return rows.select(target, "key", action.alias("action"), F.try_element_at(left, F.lit(-1))["row"].alias("row"), F.col("end.removed").alias("removed"), ambiguous.alias("ambiguous"))
-
-
-def truncate_epochs(log: DataFrame, is_truncate: Column, order: str, by: list[str]) -> DataFrame:
+    end, cut = F.col("end"), F.col("end.cut_txn").isNotNull()
+    torn = F.when(cut, _torn(end, F.col("end.cut_txn"))).otherwise(F.size(_concrete(F.col("end.live"))) > 1)
+    ambiguous = F.coalesce(F.col("end.ambiguous"), F.when(torn, F.lit("two rows at a transaction's end")))
+    live = F.when(cut, none).otherwise(F.col("end.live"))
+    left = _concrete(live)
+    action = F.when(F.size(left) > 0, "upsert").when(F.size(live) > 0, "keep").otherwise("delete")
+    dropped = F.when(cut, _cleared(end)).otherwise(F.col("end.dropped"))
+    return rows.select(target, "key", action.alias("action"), F.try_element_at(left, F.lit(-1))["row"].alias("row"), F.filter(dropped, lambda d: d["rows"] > 0).alias("dropped"), ambiguous.alias("ambiguous"))
+
+
+def rows_removed(folded: DataFrame, truncates: DataFrame, held: DataFrame, target: str = "target") -> DataFrame:
+    """truncates (cuts()) with rows_removed: the rows of this group that were live, and for the first of a target the rows that the
+    destination held, too. held: target, rows."""
+    per = folded.select(target, F.explode("dropped").alias("d")).groupBy(target, F.col("d.epoch").alias("epoch")).agg(F.sum("d.rows").alias("__own"))
+    out = truncates.join(per, [target, "epoch"], "left").join(held.select(target, F.col("rows").alias("__held")), target, "left")
+    removed = F.coalesce("__own", F.lit(0)) + F.when(F.col("epoch") == 0, F.coalesce("__held", F.lit(0))).otherwise(0)
+    return out.withColumn("rows_removed", removed.cast("long")).drop("__own", "__held")
+
+
+def truncate_epochs(log: DataFrame, is_truncate: Column, order: str, by: list[str], parts: int | None = None) -> DataFrame:
     """Every event with the number of truncates of its table up to it, and whether it outlives the last one."""
-    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = log.withColumn("is_truncate", is_truncate).withColumn("epoch", F.sum(is_truncate.cast("long")).over(upto))
-    return rows.withColumn("survives", ~F.col("is_truncate") & (F.col("epoch") == F.max("epoch").over(Window.partitionBy(*by))))
+    rows = log.withColumn("is_truncate", is_truncate)
+    rows = ranges.running_sum(rows, by, order, F.col("is_truncate").cast("long"), "epoch", parts)
+    last = rows.where("is_truncate").groupBy(*[F.col(c).alias(f"__last_{c}") for c in by]).agg(F.count("*").alias("__last"))
+    met = [F.col(c).eqNullSafe(F.col(f"__last_{c}")) for c in by]
+    rows = rows.join(last, reduce(lambda a, b: a & b, met), "left")
+    survives = ~F.col("is_truncate") & (F.col("epoch") == F.coalesce("__last", F.lit(0)))
+    return rows.withColumn("survives", survives).drop("__last", *(f"__last_{c}" for c in by))
 
 
 def null_safe(keys: list[str], left: str, right: str) -> Column:

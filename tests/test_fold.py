@@ -9,8 +9,8 @@ class Refused(Exception):
     pass
 
 
-def plain_fold(held, ops, keys=("id",)):
-    """held: row or None; ops: (txn, kind, before, row) in order."""
+def plain_fold(held, ops, truncated, keys=("id",)):
+    """held: row or None; ops: (txn, kind, before, row) in order; truncated gets how many rows of the group each truncate met."""
     live = [("start", held)] if held is not None else []
     concrete = lambda: [e for e in live if e[0] == "row"]
     last = None
@@ -37,6 +37,7 @@ def plain_fold(held, ops, keys=("id",)):
             raise Refused
         last = txn
         if kind == "truncate":
+            truncated.append(len(concrete()))
             live = []
         elif kind == "place":
             live.append(("row", row))
@@ -65,16 +66,25 @@ def test_random_operations(spark):
             row = {"id": "k", "v": rng.choice("abc")}
             steps.append((seq // 3, kind, before if kind != "place" else None, row if kind in ("place", "update") else None))
         cases.append((start, steps))
-        ops += [(str(case), "k", kind, seq, txn, before, row) for seq, (txn, kind, before, row) in enumerate(steps)]
+        op = {"place": "c", "update": "u", "remove": "d", "truncate": "t"}
+        ops += [(str(case), None if kind == "truncate" else "k", None, seq, txn, op[kind], before, row) for seq, (txn, kind, before, row) in enumerate(steps)]
         if start:
             held.append((str(case), "k", start))
-    df = spark.createDataFrame(ops, f"target string, key string, kind string, seq long, txn long, before {fold.ROW}, row {fold.ROW}")
-    out = {r.target: r for r in fold.physical_fold(df, spark.createDataFrame(held, f"target string, key string, row {fold.ROW}"), ["id"]).collect()}
+    df = spark.createDataFrame(ops, f"target string, key string, old_key string, seq long, txn long, op string, before {fold.ROW}, row {fold.ROW}")
+    folded = fold.physical_fold(fold.key_operations(df, parts=3), spark.createDataFrame(held, f"target string, key string, row {fold.ROW}"), ["id"])
+    out = {r.target: r for r in folded.collect()}
+    removed = {}
+    for r in fold.rows_removed(folded, fold.cuts(df), spark.createDataFrame(held, f"target string, key string, row {fold.ROW}").groupBy("target").count().withColumnRenamed("count", "rows")).collect():
+        removed.setdefault(r.target, {})[r.epoch] = r.rows_removed
     refused = 0
     for case, (start, steps) in enumerate(cases):
+        if all(kind == "truncate" for _, kind, _, _ in steps):
+            assert str(case) not in out
+            continue
         clean = [(t, k, {a: b for a, b in (p or {}).items() if b != "__debezium_unavailable_value"}, r) for t, k, p, r in steps]
         try:
-            want = plain_fold(start, clean)
+            truncated = []
+            want = plain_fold(start, clean, truncated)
         except Refused:
             refused += 1
             assert out[str(case)].ambiguous, (start, steps)
@@ -82,4 +92,5 @@ def test_random_operations(spark):
         got = out[str(case)]
         assert got.ambiguous is None, (start, steps)
         assert (got.action, got.row if got.action == "upsert" else None) == want, (start, steps)
+        assert removed.get(str(case), {}) == {k: n + (k == 0 and start is not None) for k, n in enumerate(truncated)}, (start, steps)
     assert 20 < refused < 380

@@ -7,8 +7,8 @@ from changelake import machines
 from changelake.functions import naming
 from changelake.operators import evolution
 from changelake.sources.changelog import decode
-from changelake.store import Conflict, IdentityViolation, Store
-from changelake.streaming import apply
+from changelake import store as store_module
+from changelake.store import Conflict, IdentityViolation, SchemaRefusal, Store
 
 
 class Crash(RuntimeError):
@@ -77,37 +77,111 @@ def test_conflicts_identities_and_leases(spark, tmp_path):
     assert [a["code"] for a in store.alerts()] == ["code"]
 
 
-def test_commits_rewrite_touched_buckets_only(spark, tmp_path):
+def test_small_commits_write_their_changes_only(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}", buckets=16)
     store.commit({"a": {"upserts": frame(spark, [(i, "x") for i in range(200)]), "keys": ["id"]}})
     before = store.latest()["tables"]["a"]["versions"]
-    store.commit({"a": {"upserts": frame(spark, [(3, "y")]).withColumn("w", F.lit(1)), "keys": ["id"]}})
-    after = store.latest()["tables"]["a"]["versions"]
-    assert len(before) == 16 and sum(before[k] != after[k] for k in before) == 1
-    assert store.table("a").count() == 200 and rows(store.table("a").where("id in (3, 4)")) == [(3, "y", 1), (4, "x", None)]
+    store.commit({"a": {"upserts": frame(spark, [(3, "y")]).withColumn("w", F.lit(1)), "deletes": frame(spark, [(9,)], "id long"), "keys": ["id"]}})
+    after = store.latest()["tables"]["a"]
+    assert len(before) == 16 and after["versions"] == before and len(after["deltas"]) == 1
+    assert store.table("a").count() == 199 and rows(store.table("a").where("id in (3, 4, 9)")) == [(3, "y", 1), (4, "x", None)]
+    for k in range(store_module.MOST_DELTAS):
+        store.commit({"a": {"upserts": frame(spark, [(3, f"y{k}")]), "keys": ["id"]}})
+    entry = store.latest()["tables"]["a"]
+    assert not entry["deltas"] and entry["rows"] == 199 and sum(before[k] != entry["versions"][k] for k in before) == 2
+    assert rows(store.table("a").where("id in (3, 9)")) == [(3, f"y{k}", None)]
     store.commit({"a": {"upserts": frame(spark, [(5, "z", 1.5)], "id long, v string, w double"), "keys": ["id"]}})
-    assert rows(store.table("a").where("w is not null")) == [(3, "y", 1.0), (5, "z", 1.5)] and store.table("a").count() == 200
+    assert rows(store.table("a").where("w is not null")) == [(5, "z", 1.5)] and store.table("a").count() == 199
     store.commit({"a": {"deletes": frame(spark, [(i, "x") for i in range(200)]).select("id"), "keys": ["id"]}})
     assert store.table("a").count() == 0 and store.table("a").columns == ["id", "v", "w"]
 
 
-def test_a_stream_applies_whole_transactions_once(spark, tmp_path):
-    source, checkpoint = tmp_path / "log", f"file://{tmp_path}/checkpoint"
-    store = Store(spark, f"file://{tmp_path}/store")
-    schema = "lsn long, txn_id long, total_order long, txn_events long, op string, id long, v string"
-    first = [(1, 1, 1, 2, "c", 1, "a"), (2, 1, 2, 2, "c", 2, "b"), (3, 2, 1, 3, "u", 1, "c")]
-    frame(spark, first, schema).coalesce(1).write.parquet(str(source), mode="append")
-    stream = spark.readStream.schema(schema).parquet(str(source))
-    apply.follow(stream, store, "t", ["id"], checkpoint).awaitTermination(120)
-    assert rows(store.table("t").select("id", "v")) == [(1, "a"), (2, "b")]
-    assert store.table("_open").count() == 1 and store.latest()["resume"] == {"last_lsn": 2}
-    frame(spark, [(4, 2, 2, 3, "d", 2, None), (5, 2, 3, 3, "c", 3, "d"), (1, 1, 1, 2, "c", 1, "a"), (2, 1, 2, 2, "c", 2, "b")], schema).coalesce(1).write.parquet(str(source), mode="append")
-    apply.follow(stream, store, "t", ["id"], checkpoint).awaitTermination(120)
-    assert rows(store.table("t").select("id", "v")) == [(1, "c"), (3, "d")]
-    assert store.table("_open").count() == 0 and store.latest()["resume"] == {"last_lsn": 5}
-    before = store.latest()["commit_id"]
-    apply.apply_batch(store, "t", ["id"], "txn_events")(frame(spark, first, schema), 0)
-    assert store.latest()["commit_id"] == before
+def test_buckets_follow_the_size(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}", bucket_rows=10)
+    store.commit({"a": {"upserts": frame(spark, [(i, "x") for i in range(100)]), "keys": ["id"]}})
+    assert store.latest()["tables"]["a"]["buckets"] == 10
+    store.commit({"a": {"upserts": frame(spark, [(i, "y") for i in range(90, 400)]), "keys": ["id"]}})
+    entry = store.latest()["tables"]["a"]
+    assert entry["buckets"] > 20 and entry["rows"] == store.table("a").count() == 400 and store.table("a").where("v = 'y'").count() == 310
+
+
+def test_a_lease_keeps_other_writers_out(spark, tmp_path):
+    one, two = Store(spark, f"file://{tmp_path}"), Store(spark, f"file://{tmp_path}")
+    one.acquire("one")
+    with pytest.raises(Conflict):
+        two.commit({"a": {"append": frame(spark, [(1, "x")])}})
+    one.commit({"a": {"append": frame(spark, [(1, "x")])}})
+    one.release("one")
+    two.acquire("two")
+    two.commit({"a": {"append": frame(spark, [(2, "x")])}})
+    one.owner, one.term = "one", 1
+    with pytest.raises(Conflict):
+        one.commit({"a": {"append": frame(spark, [(3, "x")])}})
+    assert rows(one.table("a").select("id")) == [(1,), (2,)]
+
+
+def test_columns_are_renamed_dropped_and_come_back_empty(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    store.commit({"a": {"upserts": frame(spark, [(1, "x"), (2, "y")]), "keys": ["id"]}})
+    store.commit({"a": {"rename": {"v": "w"}}})
+    assert rows(store.table("a")) == [(1, "x"), (2, "y")] and store.table("a").columns == ["id", "w"]
+    store.commit({"a": {"drop_columns": ["w"]}})
+    assert store.table("a").columns == ["id"]
+    store.commit({"a": {"upserts": frame(spark, [(2, "z")], "id long, w string"), "keys": ["id"]}})
+    assert rows(store.table("a").where("w IS NOT NULL")) == [(2, "z")]
+    with pytest.raises(SchemaRefusal):
+        store.commit({"a": {"drop_columns": ["id"]}})
+    with pytest.raises(SchemaRefusal):
+        store.commit({"a": {"rename": {"id": "w"}}})
+    store.commit({"a": {"rename": {"id": "key"}}})
+    store.commit({"a": {"replace": store.table("a").select("key", F.upper("w").alias("w")), "keys": ["key"]}})
+    assert rows(store.table("a").where("w IS NOT NULL")) == [(2, "Z")] and store.describe("a")["keys"] == ["key"]
+    with pytest.raises(IdentityViolation):
+        store.commit({"a": {"replace": store.table("a").withColumn("same", F.lit(1)), "keys": ["same"]}})
+
+
+def test_shadows_swap_and_interrupted_images(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    store.commit({"a": {"upserts": frame(spark, [(1, "old"), (2, "old")]), "keys": ["id"]}})
+    store.commit({"a": {"shadow": "open"}})
+    store.commit({"a": {"upserts": frame(spark, [(1, "new"), (3, "new")]), "keys": ["id"]}})
+    store.commit({"a": {"upserts": frame(spark, [(3, "later")]), "keys": ["id"]}})
+    assert rows(store.table("a")) == [(1, "old"), (2, "old")] and rows(store.shadow("a")) == [(1, "new"), (3, "later")]
+    assert store.owed() == ["a"] and store.watermarks() == {}
+    store.commit({"a": {"shadow": "swap", "snapshot_lsn": 70}})
+    assert rows(store.table("a")) == [(1, "new"), (3, "later")] and store.shadow("a") is None
+    assert store.owed() == [] and store.watermarks() == {"a": 70} and store.latest()["epoch"] == 1
+    store.commit({"a": {"shadow": "open"}})
+    with pytest.raises(machines.IllegalTransition):  # a half image has to be owed before another begins
+        store.commit({"a": {"shadow": "open"}})
+    store.request_image(["b"], "asked for")
+    assert store.recover() == ["a", "b"] and store.latest()["shadows"] == {} and store.table("a").count() == 2
+    store.commit({"a": {"shadow": "open"}})
+    store.commit({"a": {"shadow": "swap", "snapshot_lsn": 90}})
+    assert store.table("a").count() == 0 and store.watermarks() == {"a": 90}
+
+
+def test_vacuum_probe_journal_and_old_layouts(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    assert store.probe()
+    for k in range(5):
+        store.commit({"a": {"replace": frame(spark, [(k, "x")]), "keys": ["id"]}})
+    assert store.vacuum(keep=2, age_seconds=0) == 3
+    assert rows(store.table("a")) == [(4, "x")] and [r["commit_id"] for r in store.log()] == [1, 2, 3, 4, 5]
+    assert store.journal("acquisition_recovery")["phase"] == "absent"
+    store.journal("acquisition_recovery", "requested")
+    with pytest.raises(machines.IllegalTransition):
+        store.journal("acquisition_recovery", "armed")
+    old = store_module.migrated({"commit_id": 3, "tables": {"a": {"versions": {"1": "x"}, "columns": ["id"], "keys": ["id"], "types": {"id": "bigint"}}}, "resume": None, "batches": 2})
+    assert old["layout"] == store_module.LAYOUT and old["tables"]["a"]["buckets"] == 8 and old["tables"]["a"]["physical"] == {"id": "id"}
+
+
+def test_a_commit_that_hangs_is_named(spark, tmp_path):
+    import time
+
+    store = Store(spark, f"file://{tmp_path}", fault=lambda at: time.sleep(1.5) if at == "before_publish" else None)
+    store.commit({"a": {"append": frame(spark, [(1, "x")])}}, watchdog=0.5 + 30 * 0)
+    assert any(a["code"] == "commit_hung" for a in store.alerts())
 
 
 def test_machines():
