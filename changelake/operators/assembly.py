@@ -99,7 +99,9 @@ def control_units(stream: DataFrame, parts: int | None = None) -> DataFrame:
     rows = stream.where(F.col("kind").isin(*CHANGES, "txn_begin", "txn_end", "heartbeat"))
     last = ranges.previous(rows.where(~control), "seq", ["kind", "txn_id"], "before", parts)
     orphans = last.where((F.col("kind") == "txn_end") & (F.col("before").isNull() | F.col("before.kind").isin("txn_end"))).select("seq", "kind", "txn_id", "lsn")
-    spans = last.where("kind = 'txn_end'").groupBy("txn_id").agg(F.max("seq").alias("hi")).join(rows.where(~control).groupBy("txn_id").agg(F.min("seq").alias("lo")), "txn_id").select("lo", "hi")
+    spans = last.where("kind = 'txn_end'").groupBy("txn_id").agg(F.max("seq").alias("hi"))
+    # A transaction without END holds all that follows.
+    spans = rows.where(~control).groupBy("txn_id").agg(F.min("seq").alias("lo")).join(spans, "txn_id", "left").select("lo", F.coalesce("hi", F.lit(2**63 - 1)).alias("hi"))
     # Transactions don't overlap, so the one that may hold a record is the last to begin before it: a running maximum.
     marks = spans.select(F.col("lo").alias("seq"), F.struct("lo", "hi").alias("span"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("long").alias("lsn"))
     free = rows.where(control).select("seq", F.lit(None).cast("struct<lo:bigint,hi:bigint>").alias("span"), "kind", "lsn").unionByName(marks)
@@ -228,7 +230,7 @@ def commit_groups(unit_rows: DataFrame, most_events: int, parts: int | None = No
 
     slim = rows.select(F.col(ranges.SPAN).cast("int").alias(ranges.SPAN), "upto", F.col("event_count").cast("long").alias("event_count"))
     told = slim.groupBy(ranges.SPAN).applyInPandas(answers, "span int, upto long, closes long, leaves long, last long")
-    entries = told.groupBy(F.lit(0)).applyInPandas(chain, "span int, due long, done long")
+    entries = told.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(chain, "span int, due long, done long")
     numbered = slim.join(entries, F.col(ranges.SPAN) == F.col("span")).groupBy(ranges.SPAN).applyInPandas(number, "upto long, commit_id long")
     return rows.drop(ranges.SPAN).join(numbered, "upto").drop("upto")
 

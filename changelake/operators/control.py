@@ -64,14 +64,17 @@ def steady(samples: DataFrame, most_lag: int) -> DataFrame:
 
 
 def commit_trigger(groups: DataFrame, age_ms: int = 5000, events: int = 200_000, size: int = 256 << 20) -> DataFrame:
-    """What closes each open group: its phase first, then size, events and age; null if nothing does yet."""
+    """What closes each open group: its phase first, then events, size and age; null if nothing does yet."""
     c = F.col
-    why = F.when(c("phase_changes"), "phase_change").when(c("bytes") >= size, "bytes").when(c("events") >= events, "events").when(c("age_ms") >= age_ms, "age").when(c("drained"), "drained")
+    why = F.when(c("phase_changes"), "phase_change").when(c("events") >= events, "events").when(c("bytes") >= size, "bytes").when(c("age_ms") >= age_ms, "age").when(c("drained"), "drained")
     return groups.withColumn("trigger", why)
 
 
 def resume_point(units: DataFrame) -> DataFrame:
-    """The position to start from again: the last whole unit's, never inside one."""
+    """The position to start from again: the last of the whole units (complete) before the first one that isn't; never beyond
+    work that is still to be done."""
+    first = units.where(~F.col("complete")).agg(F.min("last_lsn").alias("first_open"))  # one row
+    units = units.where("complete").join(F.broadcast(first), F.col("first_open").isNull() | (F.col("last_lsn") < F.col("first_open")))
     return units.agg(F.max("last_lsn").alias("last_lsn"), F.max_by("txn_id", "last_lsn").alias("last_txn_id"), F.count("*").alias("units"))
 
 
@@ -103,3 +106,12 @@ def snapshot_phase(notifications: DataFrame, expected: DataFrame) -> DataFrame:
     marks = notifications.agg(F.coalesce(F.max((F.col("observation") == "STARTED").cast("int")), F.lit(0)).alias("started"), F.coalesce(F.max((F.col("observation") == "COMPLETED").cast("int")), F.lit(0)).alias("completed"), F.coalesce(F.max((F.col("observation") == "ABORTED").cast("int")), F.lit(0)).alias("aborted"))
     state = F.when(F.col("aborted") == 1, "aborted").when(F.col("started") != 1, "awaiting_callbacks").when(F.col("completed") != 1, "callbacks_started").when(F.col("odd") > 0, "completion_notified").otherwise("callbacks_complete")
     return marks.withColumn("one", F.lit(1)).join(odd.withColumn("one", F.lit(1)), "one").select(state.alias("state"), "odd")  # one row each
+
+
+def inspected(rows: DataFrame, states: DataFrame) -> DataFrame:
+    """Per destination table its rows, operations and last position, and whether its image is complete; tables without rows too."""
+    per = rows.groupBy("src_table").agg(
+        F.count("*").alias("rows"), *[F.count_if(F.col("op") == op).alias(name) for op, name in (("c", "inserts"), ("u", "updates"), ("d", "deletes"))], F.max("lsn").alias("last_lsn")
+    )
+    out = per.join(states, "src_table", "full_outer")
+    return out.select("src_table", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows", "inserts", "updates", "deletes")], "last_lsn", F.coalesce(F.col("snapshot_state") == "complete", F.lit(False)).alias("complete"))

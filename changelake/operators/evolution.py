@@ -59,11 +59,20 @@ def backfilled(rows: DataFrame, source: DataFrame, keys: list[str], columns: lis
     return out
 
 
-def uniform_constant(source: DataFrame, columns: list[str]) -> DataFrame:
-    """For a table without a key: the one row of values that a new column has throughout, or no row if values differ."""
-    values = F.struct(*columns)
-    found = source.agg(F.min(values).alias("lo"), F.max(values).alias("hi"), F.count("*").alias("rows"))
-    return found.where((F.col("rows") > 0) & F.col("lo").eqNullSafe(F.col("hi"))).select("lo.*", "rows")
+def uniform_constants(source: DataFrame, columns: list[str], defaults: dict[str, str] | None = None) -> DataFrame:
+    """For a table without a key: whether each new column has one value throughout the source, which may then be given to all rows
+    (backfill), or not (refuse). An empty source gives the declared default, if there is one."""
+    defaults = defaults or {}
+    found = source.agg(F.count("*").alias("rows"), *[f(F.col(c)).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max), ("some", F.count))])
+    one = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.when(F.col("rows") == 0, F.lit(defaults.get(c))).when((F.col(f"some_{i}") == 0) | (F.col(f"lo_{i}") == F.col(f"hi_{i}")) & (F.col(f"some_{i}") == F.col("rows")), F.col(f"lo_{i}").cast("string")).alias("value"),
+            F.when(F.when(F.col("rows") == 0, F.lit(c in defaults)).otherwise((F.col(f"some_{i}") == 0) | (F.col(f"lo_{i}") == F.col(f"hi_{i}")) & (F.col(f"some_{i}") == F.col("rows"))), "backfill").otherwise("refuse").alias("decision"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    return found.select("rows", F.explode(F.array(*one)).alias("x")).select("x.*", "rows")
 
 
 def renamed(rows: DataFrame, old: str, new: str, presence: DataFrame, event_id: str) -> DataFrame:

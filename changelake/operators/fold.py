@@ -80,27 +80,38 @@ def _torn(a: Column, txn: Column) -> Column:
     return F.coalesce(a["txn"] != txn, a["txn"].isNotNull()) & (F.size(_concrete(a["live"])) > 1)
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _step(keys: list[str]):
     none = F.array().cast(f"array<{ENTRY}>")
+    blank = F.array().cast("array<struct<key:string,value:string>>")
 
-    def step(a: Column, op: Column) -> Column:
-        telling = F.filter(F.coalesce(F.map_entries(op["before"]), F.array().cast("array<struct<key:string,value:string>>")), lambda kv: ~kv["key"].isin(keys) & ~kv["value"].eqNullSafe(F.lit(S.UNAVAILABLE)))
-        cut = op["epoch"] > a["epoch"]
-        torn = _torn(a, F.when(cut, a["cut_txn"]).otherwise(op["txn"]))
-        held = F.when(cut, none).otherwise(a["live"])
-        at = _target(held, telling)
+    def after(held: Column, at: Column, op: Column) -> Column:
+        """The entries once the operation is done to the entry at `at`."""
         row = F.struct(F.lit(False).alias("start"), op["row"].alias("row")).cast(ENTRY)
         replaced = F.transform(held, lambda e, i: F.when(i == at, row).otherwise(e))
-        removed = F.filter(F.transform(held, lambda e, i: F.when(i != at, e)), lambda e: e.isNotNull())
-        aims = op["kind"].isin("update", "remove")
-        lost = F.when(a["ambiguous"].isNotNull(), a["ambiguous"]).when(torn, "two rows at a transaction's end").when(aims & at.isNull(), "no single row matches")
-        live = (
+        removed = F.filter(held, lambda e, i: i != at)
+        return (
             F.when(op["kind"] == "place", F.concat(held, F.array(row)))
             .when(op["kind"] == "update", F.when(at >= 0, replaced).otherwise(F.array(row))).otherwise(F.when(at >= 0, removed).otherwise(none))
         )
-        return F.struct(
-            live.alias("live"), op["epoch"].alias("epoch"), op["cut_txn"].alias("cut_txn"), F.when(cut, _cleared(a)).otherwise(a["dropped"]).alias("dropped"), lost.alias("ambiguous"), op["txn"].alias("txn")
-        ).cast(STATE)
+
+    def step(a: Column, op: Column) -> Column:
+        cut = op["epoch"] > a["epoch"]
+        torn = _torn(a, F.when(cut, a["cut_txn"]).otherwise(op["txn"]))
+        telling = F.filter(F.coalesce(F.map_entries(op["before"]), blank), lambda kv: ~kv["key"].isin(keys) & ~kv["value"].eqNullSafe(F.lit(S.UNAVAILABLE)))
+        aims = op["kind"].isin("update", "remove")
+
+        def state(held: Column, at: Column) -> Column:
+            lost = F.when(a["ambiguous"].isNotNull(), a["ambiguous"]).when(torn, "two rows at a transaction's end").when(aims & at.isNull(), "no single row matches")
+            return F.struct(
+                after(held, at, op).alias("live"), op["epoch"].alias("epoch"), op["cut_txn"].alias("cut_txn"), F.when(cut, _cleared(a)).otherwise(a["dropped"]).alias("dropped"), lost.alias("ambiguous"), op["txn"].alias("txn")
+            ).cast(STATE)
+
+        return _let(F.when(cut, none).otherwise(a["live"]), lambda held: _let(_let(telling, lambda told: _target(held, told)), lambda at: state(held, at)))
 
     return step
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Verdicts on a slot, cause before symptom.
 SLOT_VERDICTS = (
     "source_unobservable", "fresh_start", "no_durable_destination_row", "source_identity_changed", "source_timeline_changed",
-    "source_lsn_regressed", "slot_missing", "slot_recreated", "slot_ahead_of_destination", "ok",
+    "source_lsn_regressed", "slot_missing", "slot_recreated", "slot_ahead_of_destination", "no_durable_row_full_snapshot", "ok",
 )
 
 
@@ -55,3 +55,27 @@ def offset_decisions(seen: DataFrame) -> DataFrame:
 def acknowledged_too_far(confirmed: Column, durable: Column) -> Column:
     """Whether the source was told of more than is durable: must never be so."""
     return confirmed > F.coalesce(durable, F.lit(0))
+
+
+def acknowledgement(seen: DataFrame) -> DataFrame:
+    """seen, with decision and ok: the source's confirmed position against the durable one, at start and end. Columns:
+    confirmed_flush_lsn, durable_lsn (null: none), snapshot_reads_data (whether the run reads all tables in full anyway)."""
+    confirmed, durable = F.col("confirmed_flush_lsn"), F.col("durable_lsn")
+    decision = (
+        F.when(confirmed.isNull(), "ok").when(durable.isNull() & F.col("snapshot_reads_data"), "no_durable_row_full_snapshot")
+        .when(durable.isNull(), "no_durable_destination_row").when(confirmed > durable, "slot_ahead_of_destination").otherwise("ok")
+    )
+    return seen.withColumn("decision", decision).withColumn("ok", decision.isin("ok", "no_durable_row_full_snapshot"))
+
+
+def offsets_equal(left: str, right: str) -> Column:
+    """Whether two offset maps (map<string, struct<kind, value>>) are the same, types included: 5 isn't "5", and true isn't "true"."""
+    entries = lambda m: F.array_sort(F.map_entries(m))
+    return entries(left).eqNullSafe(entries(right))
+
+
+def typed_offsets(text: Column) -> Column:
+    """An offset map from JSON with the kind of each value kept: long, boolean or string."""
+    raw = F.from_json(text, "map<string,variant>")
+    kind = lambda v: F.when(F.schema_of_variant(v) == "BIGINT", "long").when(F.schema_of_variant(v) == "BOOLEAN", "boolean").otherwise("string")
+    return F.transform_values(raw, lambda k, v: F.struct(kind(v).alias("kind"), v.cast("string").alias("value")))

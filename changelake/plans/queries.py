@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from .. import machines, schemas
 from ..functions import lattice, naming
 from ..operators import assembly, catalog, control, evolution, fold, reconcile, snapshots
-from ..sources.changelog import change_log, decode, envelopes, table, txn_ends
+from ..sources.changelog import as_stream, change_log, decode, end_records, envelopes, generated, table, txn_ends
+from ..store import Store, scratch
+from ..streaming import apply
 
 QUERIES = {}
 
@@ -58,8 +60,10 @@ def identifier_names(spark, sf):
 
 @query
 def captured_tables(spark, sf):
-    """Events of the capture set only."""
-    return change_log(spark, sf).where(F.col("event_type").isin("click", "purchase")).groupBy("event_type").agg(F.count("*").alias("events"))
+    """Events of the capture set, and of all tables in discovery mode."""
+    log = change_log(spark, sf)
+    some = catalog.captured(log, ["click", "purchase"], "event_type").withColumn("mode", F.lit("configured"))
+    return some.unionByName(catalog.captured(log, None, "event_type").withColumn("mode", F.lit("discovery"))).groupBy("mode", "event_type").agg(F.count("*").alias("events"))
 
 
 # Assembly
@@ -79,24 +83,57 @@ def txn_table_counts(spark, sf):
 
 @query
 def txn_incomplete_tail(spark, sf):
-    return assembly.open_tail(change_log(spark, sf)).select("txn_id", "lsn", "total_order")
+    log = change_log(spark, sf)
+    return assembly.open_tail(log, end_records(log)).select("txn_id", "lsn", "total_order")
 
 
 @query
 def ordinal_gap_check(spark, sf):
-    """A log that lost every 97th event: where the proof sees it."""
-    return assembly.breaks(change_log(spark, sf).where("lsn % 97 <> 5"))
+    """A log that lost every 97th event, with byte positions of which some step back: where the proof sees it."""
+    position = F.col("lsn") * 128 - F.when(F.col("lsn") % 89 == 7, 300).otherwise(0)
+    return assembly.breaks(change_log(spark, sf).where("lsn % 97 <> 5").withColumn("seq", F.col("lsn")).withColumn("lsn", position))
+
+
+def damaged_stream(spark, sf):
+    """The log as a serial stream with damage: lost ENDs, repeated, absent and impossible ordinals, BEGINs in between, heartbeats."""
+    rows = as_stream(change_log(spark, sf), ["user_id", "value"]).where("NOT (kind = 'txn_end' AND txn_id % 50 = 9)")
+    order = F.when((F.col("kind") == "data") & (F.col("txn_id") % 50 == 17) & (F.col("total_order") == 3), F.lit(2)).when((F.col("kind") == "data") & (F.col("txn_id") % 50 == 23) & (F.col("total_order") == 1), F.lit(0)).when((F.col("txn_id") % 50 != 31) | (F.col("total_order") != 4), F.col("total_order"))
+    rows = rows.withColumn("total_order", order.cast("long")).select("seq", "kind", "txn_id", "total_order", "lsn", "src_table", "op", "event_count", "data_collections")
+    begins = rows.where("kind = 'data' AND txn_id % 50 = 40 AND total_order = 5").withColumns({"kind": F.lit("txn_begin"), "seq": F.col("seq") - 1})
+    beats = rows.where("kind = 'data' AND (txn_id % 50 = 41 AND total_order = 2 OR txn_id % 50 = 42 AND total_order = 1)").withColumns({"kind": F.lit("heartbeat"), "seq": F.col("seq") - 1, "txn_id": F.lit(None).cast("string")})
+    return rows.unionByName(begins).unionByName(beats)
+
+
+@query
+def stream_faults(spark, sf):
+    return assembly.faults(damaged_stream(spark, sf), parts=4)
+
+
+@query
+def stream_proofs(spark, sf):
+    """What each transaction's END proves."""
+    return assembly.proofs(damaged_stream(spark, sf)).select("txn_id", "events", "declared", "last_lsn", "ended", "reason")
+
+
+@query
+def control_units(spark, sf):
+    """Records outside transactions; those inside are carried by theirs."""
+    return assembly.control_units(damaged_stream(spark, sf).where("NOT (kind = 'txn_begin')"), parts=4)
 
 
 @query
 def unit_statistics(spark, sf):
-    u = assembly.units(change_log(spark, sf))
+    log = change_log(spark, sf)
+    u = assembly.units(log, end_records(log).withColumn("lsn", F.col("lsn") + F.col("txn_id") % 3))
     return u.select("txn_id", "last_lsn", "event_count", F.array_join("tables", ",").alias("tables"), "first_table", "last_table", "max_source_ts")
 
 
 @query
 def replay_fence(spark, sf):
-    return assembly.replay_fence(assembly.units(change_log(spark, sf)), 4200).groupBy("fenced").agg(F.count("*").alias("units"), F.sum("event_count").alias("events"), F.min("last_lsn").alias("lo"), F.max("last_lsn").alias("hi"))
+    """Units at or before the resume point, here two fifths of the log."""
+    u = assembly.units(change_log(spark, sf))
+    resume = u.agg(F.max("last_lsn")).first()[0] * 2 // 5
+    return assembly.replay_fence(u, resume).groupBy("fenced").agg(F.count("*").alias("units"), F.sum("event_count").alias("events"), F.min("last_lsn").alias("lo"), F.max("last_lsn").alias("hi"))
 
 
 @query
@@ -108,16 +145,31 @@ def watermark_fence(spark, sf):
 
 @query
 def schema_epoch_split(spark, sf):
+    """Units around a schema change in the middle of the log; some prove by their shape that it was made, some are mixed."""
     u = assembly.units(change_log(spark, sf))
-    return assembly.schema_epochs(u, 5000, (F.col("txn_id") % 101 == 3)).groupBy("epoch").agg(F.count("*").alias("units"), F.min("last_lsn").alias("lo"), F.max("last_lsn").alias("hi"))
+    fence = u.agg(F.max("last_lsn")).first()[0] // 2
+    out = assembly.schema_epochs(u, fence, F.col("txn_id") % 101 == 3, (F.col("txn_id") % 101 != 3) | (F.col("txn_id") % 7 == 3))
+    return out.groupBy("epoch").agg(F.count("*").alias("units"), F.min("last_lsn").alias("lo"), F.max("last_lsn").alias("hi"))
+
+
+def uneven_units(spark, sf) -> DataFrame:
+    """Units of which some are larger than a commit group should be."""
+    return assembly.units(change_log(spark, sf)).withColumn("event_count", F.col("event_count") * F.when(F.col("txn_id") % 13 == 5, 100).otherwise(1))
 
 
 @query
 def commit_groups(spark, sf):
-    g = assembly.commit_groups(assembly.units(change_log(spark, sf)), 500)
+    g = assembly.commit_groups(uneven_units(spark, sf), 500, parts=4)
     return g.groupBy("commit_id").agg(F.count("*").alias("units"), F.sum("event_count").alias("events"), F.min("last_lsn").alias("first_lsn"), F.max("last_lsn").alias("last_lsn"))
 
 
+@query
+def phase_groups(spark, sf):
+    """Runs of units of one phase: no group mixes snapshot and streaming units."""
+    u = assembly.units(change_log(spark, sf)).withColumn("is_snapshot", F.expr("txn_id div 100") % 3 == 0)
+    return assembly.phases(u, parts=4).groupBy("phase", "is_snapshot").agg(F.count("*").alias("units"), F.min("last_lsn").alias("lo"), F.max("last_lsn").alias("hi"))
+
+
 # The fold
 
 
@@ -189,17 +241,18 @@ def fold_scenarios(spark, sf):
 @query
 def pk_update_move(spark, sf):
     """Updates that change the key: the old key goes, the new one comes."""
-    orders = table(spark, sf, "orders").where("o_orderkey % 10 = 3")
     image = F.create_map(F.lit("total"), F.col("o_totalprice").cast("string"))
-    log = orders.select(F.lit("orders").alias("target"), (F.col("o_orderkey") + 1000000).cast("string").alias("key"), F.col("o_orderkey").cast("string").alias("old_key"), F.col("o_orderkey").alias("seq"), F.lit(1).cast("long").alias("txn"), F.lit("u").alias("op"), F.lit(None).cast(fold.ROW).alias("before"), image.alias("row"))
+    log = table(spark, sf, "orders").select(F.lit("orders").alias("target"), (F.col("o_orderkey") + 1000000).cast("string").alias("key"), F.col("o_orderkey").cast("string").alias("old_key"), F.col("o_orderkey").alias("seq"), F.lit(1).cast("long").alias("txn"), F.lit("u").alias("op"), F.lit(None).cast(fold.ROW).alias("before"), image.alias("row"))
     return fold.key_operations(log).groupBy("kind").agg(F.count("*").alias("ops"), F.min(F.col("key").cast("long")).alias("lo"), F.max(F.col("key").cast("long")).alias("hi"))
 
 
 @query
 def keyless_changelog(spark, sf):
-    """A table without a key is a log: one row per event, identified by the event."""
-    rows = table(spark, sf, "lineitem")
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("cdcf_event_id")).dropDuplicates(["cdcf_event_id", "l_quantity"])
+    """A table without a key is a log: one row per event, deletes included, identified by the event; events sent twice stay once."""
+    rows = table(spark, sf, "lineitem").withColumn("n", F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long"), F.col("l_shipdate").cast("date").cast("string")))
+    event = lambda op: [*("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.lit(op).alias("dbz_op"), F.concat_ws(":", "n", F.lit(op)).alias("cdcf_event_id")]
+    events = rows.select(*event("c")).unionByName(rows.where("l_returnflag = 'R'").select(*event("d")))
+    return events.unionByName(rows.where("l_linenumber = 1").select(*event("c"))).dropDuplicates(["cdcf_event_id"])
 
 
 def with_truncates(spark, sf) -> tuple[DataFrame, object]:
@@ -215,11 +268,30 @@ def truncate_survivors(spark, sf):
 
 @query
 def truncate_rows_removed(spark, sf):
-    log, cut = with_truncates(spark, sf)
-    rows = fold.truncate_epochs(log, cut, "lsn", ["event_type"])
-    last = F.max("epoch").over(Window.partitionBy("event_type"))
-    rows = rows.withColumn("last_epoch", last).where("NOT is_truncate AND epoch < last_epoch")
-    return rows.groupBy("event_type", "epoch").agg(F.count("*").alias("rows_removed"))
+    """What each truncate of four tables removed: the group's rows that were live, and for a table's first what it held before."""
+    log, image = well_formed(spark, sf), F.create_map(F.lit("user_id"), F.col("user_id").cast("string"))
+    target = lambda n: F.concat(F.lit("users_"), (n % 4).cast("string"))
+    none = F.lit(None).cast("string")
+    ops = log.select(target(F.col("user_id")).alias("target"), F.col("user_id").cast("string").alias("key"), none.alias("old_key"), (F.col("lsn") * 2).alias("seq"), F.col("txn_id").alias("txn"), "op", F.when(F.col("op") == "d", image).alias("before"), F.when(F.col("op") != "d", image).alias("row"))
+    cuts = log.where("lsn % 997 = 500").select(target(F.expr("lsn div 997")).alias("target"), none.alias("key"), none.alias("old_key"), (F.col("lsn") * 2 + 1).alias("seq"), F.col("txn_id").alias("txn"), F.lit("t").alias("op"), F.lit(None).cast(fold.ROW).alias("before"), F.lit(None).cast(fold.ROW).alias("row"))
+    ops = ops.unionByName(cuts)
+    held = table(spark, sf, "customer").groupBy(target(F.col("c_custkey")).alias("target")).agg(F.count("*").alias("rows"))
+    empty = literal(spark, f"target string, key string, row {fold.ROW}", [])
+    folded = fold.physical_fold(fold.key_operations(ops, parts=4), empty, ["user_id"])
+    return fold.rows_removed(folded, fold.cuts(ops), held).select("target", "seq", "epoch", "rows_removed")
+
+
+@query
+def batched_apply(spark, sf):
+    """The whole log through the stream's applier in three batches that cut transactions apart, into a store; then its table."""
+    log = well_formed(spark, sf)
+    store = Store(spark, scratch(spark, "batched"))
+    run = apply.apply_batch(store, {"app.users": apply.Table("users", {"user_id": "bigint", "value": "double"}, ("user_id",))}, parts=2)
+    records = as_stream(log, ["user_id", "value"])
+    third = log.agg(F.max("lsn")).first()[0] * 4 // 3 + 1
+    for k in range(3):
+        run(records.where((F.col("seq") >= k * third) & (F.col("seq") < (k + 1) * third)), k)
+    return store.table("users").select("user_id", "value", "cdcf_event_id", "dbz_lsn")
 
 
 @query
@@ -294,8 +366,9 @@ def add_column_backfill(spark, sf):
 
 @query
 def keyless_uniform_backfill(spark, sf):
-    rows = table(spark, sf, "lineitem").where("l_returnflag = 'N'").select("l_returnflag")
-    return evolution.uniform_constant(rows, ["l_returnflag"])
+    """Columns added to a table without a key: filled in where one value holds throughout, refused where not."""
+    rows = table(spark, sf, "lineitem").withColumns({"added": F.lit("v1"), "empty": F.lit(None).cast("string")})
+    return evolution.uniform_constants(rows, ["l_returnflag", "added", "empty"])
 
 
 @query
@@ -323,18 +396,18 @@ def unexplained_fields(spark, sf):
 @query
 def snapshot_ordinal(spark, sf):
     rows = change_log(spark, sf).select(F.col("event_type").alias("src_table"), "lsn")
-    return snapshots.ordinals(rows, "src_table", "lsn", buckets=8).select("src_table", "lsn", F.col("ordinal").cast("long").alias("ordinal"))
+    return snapshots.ordinals(rows, "src_table", "lsn", parts=4).select("src_table", "lsn", F.col("ordinal").cast("long").alias("ordinal"))
 
 
 @query
 def snapshot_chunks(spark, sf):
-    rows = change_log(spark, sf).select(F.col("event_type").alias("src_table"), "lsn")
-    return snapshots.chunks(snapshots.ordinals(rows, "src_table", "lsn", buckets=8), 300)
+    rows = change_log(spark, sf).select(F.col("event_type").alias("src_table"), "lsn", F.octet_length("props").alias("nbytes"))
+    return snapshots.chunks(snapshots.ordinals(rows, "src_table", "lsn", parts=4), 300, 2000, parts=4)
 
 
 @query
 def snapshot_event_ids(spark, sf):
-    rows = snapshots.ordinals(change_log(spark, sf).select(F.col("event_type").alias("src_table"), "lsn"), "src_table", "lsn", buckets=8)
+    rows = snapshots.ordinals(change_log(spark, sf).select(F.col("event_type").alias("src_table"), "lsn"), "src_table", "lsn", parts=4)
     return rows.select("lsn", naming.snapshot_event_id(F.lit(3), F.lit("app"), F.col("src_table"), F.col("ordinal")).alias("event_id"))
 
 
@@ -363,8 +436,25 @@ STATES = [("click", "complete"), ("view", "in_progress"), ("error", "awaiting_sn
 
 @query
 def recovery_owed(spark, sf):
+    """Captured tables that are owed an image, and those whose image isn't finished."""
     captured = change_log(spark, sf).select(F.col("event_type").alias("src_table")).distinct()
-    return snapshots.owed(captured, literal(spark, "src_table string, snapshot_state string", STATES))
+    states = literal(spark, "src_table string, snapshot_state string", STATES)
+    return snapshots.owed(captured, states).withColumn("why", F.lit("owed")).unionByName(snapshots.unfinished(captured, states).withColumn("why", F.lit("unfinished")))
+
+
+@query
+def source_missing_policy(spark, sf):
+    rows = [("done", True, True, True, False, 9), ("there", False, False, True, True, 9), ("gone", False, True, True, False, 9), ("running", False, True, False, False, 9), ("seen", False, True, True, True, 9), ("nowhere", False, True, True, False, None)]
+    tables = literal(spark, "src_table string, done boolean, missing boolean, phase_ended boolean, seen boolean, wal_lsn long", rows)
+    out = [snapshots.source_missing(tables, mode).withColumn("mode", F.lit(mode)) for mode in ("replicate", "log", "ignore")]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query
+def consistent_point(spark, sf):
+    """Per table two readings of its image's position: the log's own, and one that some tables see differently."""
+    per = change_log(spark, sf).groupBy(F.col("user_id").alias("image")).agg(F.max("lsn").alias("record_lsn"))
+    return snapshots.consistent_point(per.withColumn("slot_lsn", F.when(F.col("image") % 5 != 0, F.col("record_lsn") + (F.col("image") % 7 == 0).cast("long"))))
 
 
 @query
@@ -401,14 +491,43 @@ def confirm_streak(spark, sf):
 
 @query
 def mass_drop_breaker(spark, sf):
-    changes = change_log(spark, sf).where("event_type IN ('error', 'signup')").select(F.col("txn_id").alias("plan_id"), "lsn", F.when((F.col("event_type") == "error") & (F.col("lsn") % 2 == 0), "dropped").otherwise("schema").alias("kind"))
-    return catalog.circuit_breaker(changes, 1)
+    kind = F.when((F.col("event_type") == "error") & (F.col("lsn") % 2 == 0), "dropped").when((F.col("event_type") == "signup") & (F.col("lsn") % 3 == 0), "recreated").otherwise("schema")
+    return catalog.circuit_breaker(change_log(spark, sf).select(F.col("txn_id").alias("plan_id"), "lsn", kind.alias("kind")), 1)
+
+
+@query
+def catalog_plan(spark, sf):
+    """One relation a user: changes due at half of the log, drops deferred where an image is owed, refused if there are too many."""
+    log = change_log(spark, sf)
+    kind = F.when(F.col("event_type") == "error", "dropped").when(F.col("event_type") == "signup", "new").otherwise("schema")
+    changes = log.groupBy(F.col("user_id").cast("string").alias("table")).agg(F.max("lsn").alias("detected_lsn"), F.max_by(kind, "lsn").alias("kind"))
+    owed = changes.where("cast(table AS long) % 3 = 0").select("table")
+    durable = log.agg(F.max("lsn")).first()[0] - 60
+    out = [catalog.plan(changes, durable, owed, mode, allow=allow).withColumn("mode", F.lit(f"{mode} {allow}")) for mode, allow in (("replicate", False), ("replicate", True), ("log", False))]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query
+def publication_admissions(spark, sf):
+    rows = [("child", True, False, False, None), ("ours", False, False, False, None), ("theirs", False, True, False, None), ("every", False, False, True, None), ("failed", False, False, False, "no right")]
+    seen = literal(spark, "table string, is_partition boolean, published boolean, all_tables boolean, error string", rows)
+    return catalog.admissions(seen, "flight").withColumn("ownership", F.lit("flight")).unionByName(catalog.admissions(seen, "external").withColumn("ownership", F.lit("external")))
+
+
+@query
+def identity_metadata(spark, sf):
+    """Key columns in the key's order, whatever the columns' own."""
+    constraints = literal(spark, "table string, position int, column_id int", [("a", 2, 1), ("a", 1, 3), ("b", 1, 2)])
+    return catalog.identities(constraints, literal(spark, "table string, column_id int, name string", [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "z"), ("b", 2, "k")]))
 
 
 @query
 def lsn_fence(spark, sf):
-    changes = change_log(spark, sf).where("event_type = 'error'").select(F.col("user_id").alias("relation"), F.col("lsn").alias("detected_lsn"))
-    return catalog.due(changes, 3333)
+    """Changes that are due once a third of the log is durable; with grace, those a little beyond it, too."""
+    log = change_log(spark, sf)
+    durable = log.agg(F.max("lsn")).first()[0] // 3
+    changes = log.select(F.col("user_id").alias("relation"), F.col("lsn").alias("detected_lsn"))
+    return catalog.due(changes, durable).withColumn("grace", F.lit(0)).unionByName(catalog.due(changes, durable, 64).withColumn("grace", F.lit(64)))
 
 
 @query
@@ -472,7 +591,7 @@ def state_reachability(spark, sf):
 
 @query
 def commit_log_stats(spark, sf):
-    g = assembly.commit_groups(assembly.units(change_log(spark, sf)), 500)
+    g = assembly.commit_groups(uneven_units(spark, sf), 500, parts=4)
     rows = change_log(spark, sf).join(g.select("txn_id", "commit_id"), "txn_id")
     return rows.groupBy("commit_id").agg(F.count("*").alias("event_count"), F.count_distinct("txn_id").alias("txns"), F.min_by("txn_id", "lsn").alias("first_txn"), F.max_by("txn_id", "lsn").alias("last_txn"), F.min("lsn").alias("first_lsn"), F.max("lsn").alias("last_lsn"), F.max("ts").alias("max_source_ts"))
 
@@ -480,7 +599,7 @@ def commit_log_stats(spark, sf):
 @query
 def ledger_balance(spark, sf):
     """Commits are numbered without gaps, their positions never fall, and their events add up to the source's."""
-    g = assembly.commit_groups(assembly.units(change_log(spark, sf)), 500)
+    g = assembly.commit_groups(uneven_units(spark, sf), 500, parts=4)
     c = g.groupBy("commit_id").agg(F.sum("event_count").alias("events"), F.max("last_lsn").alias("lsn"))
     own = Window.orderBy("commit_id")
     c = c.withColumn("gap", F.col("commit_id") - F.lag("commit_id", 1, 0).over(own) - 1).withColumn("falls", (F.col("lsn") < F.lag("lsn", 1, -1).over(own)).cast("int"))
@@ -489,7 +608,7 @@ def ledger_balance(spark, sf):
 
 @query
 def one_commit_per_txn(spark, sf):
-    g = assembly.commit_groups(assembly.units(change_log(spark, sf)), 500)
+    g = assembly.commit_groups(uneven_units(spark, sf), 500, parts=4)
     per = g.groupBy("txn_id").agg(F.count_distinct("commit_id").alias("commits"))
     return per.groupBy("commits").agg(F.count("*").alias("txns"))
 
@@ -503,8 +622,8 @@ def op_histogram(spark, sf):
 def no_row_lost(spark, sf):
     """Positions of the source's series that the destination lacks."""
     log = change_log(spark, sf)
-    top = log.agg(F.max("lsn").alias("hi"))
-    series = top.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("hi"))).alias("lsn"))
+    top = log.agg(F.max("lsn")).first()[0]
+    series = spark.range(0, (-1 if top is None else top) + 1).withColumnRenamed("id", "lsn")
     return series.join(log.where("lsn % 97 <> 5"), "lsn", "left_anti")
 
 
@@ -518,16 +637,15 @@ def applied_counts(spark, sf):
 
 @query
 def refusals_pending(spark, sf):
-    log = change_log(spark, sf)
-    records = log.where("event_type IN ('error', 'signup')").select(F.col("user_id").alias("relation"), (F.col("lsn") % 3).alias("refusal"), F.col("lsn").alias("at"), F.when(F.col("event_type") == "error", "pending").otherwise("resolved").alias("state"))
+    records = change_log(spark, sf).select(F.col("user_id").alias("relation"), (F.col("lsn") % 3).alias("refusal"), F.col("lsn").alias("at"), F.when(F.col("event_type") == "error", "pending").otherwise("resolved").alias("state"))
     return control.refusals_pending(records)
 
 
 @query
 def snapshot_audit(spark, sf):
-    """Completion records delivered again: each stays once."""
+    """Completion records delivered in two parts that overlap: each stays once."""
     log = change_log(spark, sf).select("event_type", "txn_id", F.lit("completed").alias("event"))
-    return control.audited_once(log.where("txn_id < 100").distinct(), log.where("txn_id BETWEEN 50 AND 200"), ["event_type", "txn_id", "event"])
+    return control.audited_once(log.where("txn_id % 3 <> 0").distinct(), log.where("txn_id % 3 <> 1"), ["event_type", "txn_id", "event"])
 
 
 @query
@@ -551,7 +669,7 @@ def recovery_finished(spark, sf):
 @query
 def slot_history(spark, sf):
     """Observations in a row, decided by the table: a slot that falls back was made anew."""
-    seen = change_log(spark, sf).where("user_id < 40").select(F.col("user_id").alias("slot"), F.col("lsn").alias("at"), F.when(F.col("lsn") % 11 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("restart_lsn"), F.when(F.col("lsn") % 22 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("confirmed_flush_lsn"), F.lit("s").alias("system_identifier"), F.lit(1).alias("timeline_id"))
+    seen = change_log(spark, sf).select(F.col("user_id").alias("slot"), F.col("lsn").alias("at"), F.when(F.col("lsn") % 11 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("restart_lsn"), F.when(F.col("lsn") % 22 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("confirmed_flush_lsn"), F.lit("s").alias("system_identifier"), F.lit(1).alias("timeline_id"))
     rows = control.slot_history(seen).withColumns({"observable": F.lit(True), "durable_lsn": F.lit(10**6).cast("long"), "slot_exists": F.lit(True), "current_wal_lsn": F.lit(10**7).cast("long"), "destination_rows": F.lit(1)})
     return reconcile.slot_verdicts(rows).groupBy("slot", "verdict").agg(F.count("*").alias("seen"))
 
@@ -564,15 +682,17 @@ def lag_steady(spark, sf):
 
 @query
 def commit_triggers(spark, sf):
-    rows = [("a", False, 1, 10, 10, False), ("b", False, 1, 10, 6000, False), ("c", False, 300 << 20, 10, 6000, False), ("d", False, 1, 300_000, 6000, True), ("e", True, 300 << 20, 1, 1, True), ("f", False, 1, 1, 1, True)]
+    rows = [("a", False, 1, 10, 10, False), ("b", False, 1, 10, 6000, False), ("c", False, 300 << 20, 10, 6000, False), ("d", False, 1, 300_000, 6000, True), ("e", True, 300 << 20, 1, 1, True), ("f", False, 1, 1, 1, True), ("g", False, 300 << 20, 300_000, 1, False)]
     return control.commit_trigger(literal(spark, "name string, phase_changes boolean, bytes long, events long, age_ms long, drained boolean", rows)).select("name", "trigger")
 
 
 @query
 def resume_point(spark, sf):
+    """Up to the first transaction that isn't whole: here one of the last hundred."""
     log = change_log(spark, sf)
-    whole = assembly.completeness(log, txn_ends(log)).where("complete")
-    return control.resume_point(whole)
+    whole = assembly.completeness(log, txn_ends(log))
+    top = log.agg(F.max("txn_id")).first()[0]
+    return control.resume_point(whole.withColumn("complete", F.col("complete") | (F.col("txn_id") < top - 100)))
 
 
 @query
@@ -615,7 +735,9 @@ def snapshot_watermarks(spark, sf):
 
 @query
 def wal_position(spark, sf):
-    return change_log(spark, sf).agg(F.max("lsn").alias("current_wal_lsn"), (F.max("lsn") - F.min("lsn")).alias("behind"))
+    """One server a user: what a primary has written, what a standby has replayed."""
+    seen = change_log(spark, sf).select(F.col("user_id").alias("server"), (F.col("user_id") % 4 == 0).alias("in_recovery"), F.col("lsn").alias("write_lsn"), F.when(F.col("lsn") % 2 == 0, F.col("lsn") - 1).alias("replay_lsn"))
+    return catalog.wal_position(seen)
 
 
 @query
@@ -623,22 +745,42 @@ def source_catalog(spark, sf):
     """Relations with their columns, key and publication; partitions under their root."""
     relations = literal(spark, "oid long, schema string, table string, root long", [(1, "app", "a", None), (2, "app", "p", None), (3, "app", "p_1", 2), (4, "app", "p_2", 2)])
     columns = literal(spark, "oid long, attnum int, name string, type string, is_key boolean", [(1, 2, "v", "text", False), (1, 1, "id", "bigint", True), (2, 1, "at", "date", True)])
-    published = literal(spark, "oid long", [(1,), (2,)])
-    ordered = F.array_sort(F.collect_list(F.struct("attnum", "name", "type")))
-    lists = columns.groupBy("oid").agg(F.array_join(F.transform(ordered, lambda c: F.concat_ws(":", c["name"], c["type"])), ",").alias("columns"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("is_key"), F.col("name")))), ",").alias("key"))
-    children = relations.where("root IS NOT NULL").groupBy(F.col("root").alias("oid")).agg(F.count("*").alias("partitions"))
-    rows = relations.where("root IS NULL").join(lists, "oid", "left").join(published.withColumn("published", F.lit(True)), "oid", "left").join(children, "oid", "left")
-    return rows.select("schema", "table", "columns", "key", F.coalesce("published", F.lit(False)).alias("published"), F.coalesce("partitions", F.lit(0)).cast("long").alias("partitions"))
+    return catalog.relations(relations, columns, literal(spark, "oid long", [(1,), (2,)]))
+
+
+@query
+def partition_children(spark, sf):
+    relations = literal(spark, "oid long, schema string, table string, root long", [(1, "app", "a", None), (2, "app", "p", None), (3, "app", "p_1", 2), (4, "app", "p_2", 2)])
+    return catalog.partitions(relations).select("schema", "table", "root_schema", "root_table")
 
 
 @query
 def synthetic_changes(spark, sf):
-    """A wave of changes over orders, the same on each run: some updates, deletes and inserts."""
-    orders = table(spark, sf, "orders")
-    op = F.when(F.col("o_orderkey") % 17 == 3, "d").when(F.col("o_orderkey") % 5 == 1, "u")
-    old = orders.select("o_orderkey", "o_custkey", op.alias("op")).where("op IS NOT NULL")
-    new = orders.where("o_orderkey % 31 = 7").select((F.col("o_orderkey") + 5000000).alias("o_orderkey"), "o_custkey", F.lit("c").alias("op"))
-    return old.unionByName(new).groupBy("op").agg(F.count("*").alias("changes"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    """A wave of changes over orders, the same for the same seed."""
+    return generated(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 42)
+
+
+@query
+def inspection(spark, sf):
+    """What a destination holds: per table its rows, operations, last position, and whether its image is complete."""
+    log = change_log(spark, sf)
+    return control.inspected(log.select(F.col("event_type").alias("src_table"), "op", "lsn"), literal(spark, "src_table string, snapshot_state string", STATES))
+
+
+@query
+def acknowledgement_guard(spark, sf):
+    """Per slot: whether the source was told of more than is durable."""
+    seen = change_log(spark, sf).groupBy(F.col("user_id").alias("slot")).agg(F.max("lsn").alias("top"))
+    seen = seen.select("slot", F.when(F.col("slot") % 5 != 0, F.col("top")).alias("confirmed_flush_lsn"), F.when(F.col("slot") % 3 != 0, F.col("top") - (F.col("slot") % 2)).alias("durable_lsn"), (F.col("slot") % 2 == 0).alias("snapshot_reads_data"))
+    return reconcile.acknowledgement(seen)
+
+
+@query
+def typed_offsets(spark, sf):
+    """Offset maps that differ in types only aren't equal."""
+    rows = change_log(spark, sf).select("lsn", F.format_string('{"lsn": %d, "ts": "%d", "last": true}', "lsn", "lsn").alias("a"), F.when(F.col("lsn") % 2 == 0, F.format_string('{"ts": "%d", "last": true, "lsn": %d}', "lsn", "lsn")).otherwise(F.format_string('{"lsn": "%d", "ts": "%d", "last": true}', "lsn", "lsn")).alias("b"))
+    maps = rows.select("lsn", reconcile.typed_offsets(F.col("a")).alias("a"), reconcile.typed_offsets(F.col("b")).alias("b"))
+    return maps.select("lsn", F.try_element_at("a", F.lit("lsn"))["kind"].alias("kind"), reconcile.offsets_equal("a", "b").alias("equal"))
 
 
 @query

@@ -35,6 +35,35 @@ def txn_ends(log: DataFrame) -> DataFrame:
     return ends.select("txn_id", (F.lit(TXN_EVENTS) + F.when(F.col("txn_id") % 50 == 13, 1).otherwise(0)).cast("long").alias("event_count"), "data_collections")
 
 
+def end_records(log: DataFrame) -> DataFrame:
+    """The END records that a log holds: of transactions whose last event is there. Their position is their last event's."""
+    return log.where(F.col("total_order") == TXN_EVENTS).select("txn_id", "lsn")
+
+
+def generated(rows: DataFrame, key: str, seed: int, scale: int = 1) -> DataFrame:
+    """A wave of changes of a table's rows: some updates and deletes, and inserts of new keys; the same for the same seed. seq orders it."""
+    draw = lambda salt: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}{salt}"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long") % 100
+    op = F.when(draw("c") < 5 * scale, S.DELETE).when(draw("c") < 20 * scale, S.UPDATE)
+    old = rows.withColumn("op", op).where("op IS NOT NULL")
+    new = rows.where(draw("i") < 3 * scale).withColumn(key, -F.col(key) - 1).withColumn("op", F.lit(S.INSERT))
+    return old.unionByName(new).withColumn("seq", F.abs(F.col(key)) * 3 + F.when(F.col("op") == S.INSERT, 2).otherwise(0))
+
+
+def as_stream(log: DataFrame, columns: list[str]) -> DataFrame:
+    """A log of app.users as records of a serial stream: events and, after each transaction's last one, its END."""
+    image = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("string"))])
+    txn, none = F.col("txn_id").cast("string"), F.lit(None).cast("map<string,string>")
+    events = log.select(
+        (F.col("lsn") * 4).alias("seq"), F.lit("data").alias("kind"), F.lit("app.users").alias("src_table"), "op", "lsn", txn.alias("txn_id"), F.col("total_order").cast("long").alias("total_order"), F.unix_millis(F.col("ts").cast("timestamp")).alias("source_ts_ms"),
+        F.when(F.col("op") == S.DELETE, image).otherwise(none).alias("before"), F.when(F.col("op") != S.DELETE, image).otherwise(none).alias("row"), F.lit(None).cast("long").alias("event_count"), F.lit(None).cast("map<string,bigint>").alias("data_collections"),
+    )
+    ends = log.where(F.col("total_order") == TXN_EVENTS).select(
+        (F.col("lsn") * 4 + 1).alias("seq"), F.lit("txn_end").alias("kind"), F.lit(None).cast("string").alias("src_table"), F.lit(None).cast("string").alias("op"), "lsn", txn.alias("txn_id"), F.lit(None).cast("long").alias("total_order"), F.lit(None).cast("long").alias("source_ts_ms"),
+        none.alias("before"), none.alias("row"), F.lit(TXN_EVENTS).cast("long").alias("event_count"), F.create_map(F.lit("app.users"), F.lit(TXN_EVENTS).cast("long")).alias("data_collections"),
+    )
+    return events.unionByName(ends)
+
+
 def kind_of(topic: Column, prefix: str, e: Column) -> Column:
     """What a record is, by its topic, operation and snapshot marker."""
     marker = F.lower(F.coalesce(e["source"]["snapshot"], F.lit("false")))

@@ -17,7 +17,10 @@ atomic on HDFS and local file systems.
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
+import tempfile
 import threading
 import time
 import uuid
@@ -57,6 +60,19 @@ class SchemaRefusal(RuntimeError):
     """A change of shape that would lose data or break an identity."""
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A folder of its own below the one that driver and executors share (spark.checkpoint.dir); a temporary one only where that is
+    unset and everything runs on one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='changelake-')}"
+        atexit.register(shutil.rmtree, shared.removeprefix("file://"), ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def migrated(manifest: dict) -> dict:
     """A manifest in today's layout: what older ones lack gets its default, and nothing that they hold is lost."""
     if manifest.get("layout", 1) > LAYOUT:
