@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if it was measured to need at most this.
-BROADCAST_BYTES, ITEM_BYTES = 8 << 20, 64
+BROADCAST_BYTES, ITEM_BYTES = 1 << 20, 64
 
 
 def tune(spark: SparkSession) -> None:
