@@ -11,8 +11,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only if it was measured to need at most this.
-BROADCAST_BYTES, ITEM_BYTES = 1 << 20, 64
+#: A side of a join is broadcast only if it was measured to need at most this; where the other side is whole texts, which would
+#: have to be shuffled instead, at most BESIDE_TEXTS.
+BROADCAST_BYTES, BESIDE_TEXTS, ITEM_BYTES = 8 << 20, 64 << 20, 64
 
 
 def tune(spark: SparkSession) -> None:
@@ -75,8 +76,8 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def sized(side: DataFrame, row_bytes: int, *varying: str) -> DataFrame:
-    """side, with a broadcast hint if it is measured to stay under BROADCAST_BYTES in a task's hash table; otherwise as it is,
+def sized(side: DataFrame, row_bytes: int, *varying: str, most: int | None = None) -> DataFrame:
+    """side, with a broadcast hint if it is measured to stay under BROADCAST_BYTES (or `most`) in a task's hash table; otherwise as it is,
     for a shuffled join. row_bytes: the fixed-width columns of a row; varying: columns whose sizes are summed up, binary ones,
     arrays (of at most ITEM_BYTES an item), or numbers that say how many bytes others hold."""
     size, kinds = F.lit(2 * row_bytes + 48).cast("long"), dict(side.dtypes)
@@ -84,7 +85,7 @@ def sized(side: DataFrame, row_bytes: int, *varying: str) -> DataFrame:
         own = F.size(name) * ITEM_BYTES if kinds[name].startswith("array") else F.octet_length(name) if kinds[name] == "binary" else F.col(name)
         size = size + F.coalesce(own, F.lit(0))
     total = side.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    return F.broadcast(side) if total <= BROADCAST_BYTES else side
+    return F.broadcast(side) if total <= (most or BROADCAST_BYTES) else side
 
 
 def rested(spark: SparkSession) -> None:

@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, lean, mix64, sized, tune, utf8, written
+from .common import BESIDE_TEXTS, chunks, documents, lean, mix64, sized, tune, utf8, written
 from .graphs import components
 from .shingles import shingle_sets, signature
 
@@ -571,7 +571,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counted: b
     if large is not None:
         # Merged regions that grew too large: once more, with the sketches' bound on every pair that meets.
         sums = large.agg(F.sum("n"), F.max("n")).first()
-        texts = docs.select("doc_id", "text").join(sized(large, 48), F.col("doc_id") == F.col("rep")).select("rep", "hi", "lo", "text")
+        texts = docs.select("doc_id", "text").join(sized(large, 48, most=BESIDE_TEXTS), F.col("doc_id") == F.col("rep")).select("rep", "hi", "lo", "text")
         finer = components(refined_edges(texts, words, percent, *sums))
         finer = large.join(finer, F.col("rep") == F.col("node")).select(F.col("root").alias("region"), "rep", "hi", "lo", "n", "copies")
         finer, large = regions(written(finer, "finer"))
@@ -612,7 +612,7 @@ def regions(inside: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
 def fetch(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The sets (SET) of the nodes wanted, from the text of the document that stands for each."""
-    texts = docs.select("doc_id", "text").join(sized(wanted, 64), F.col("doc_id") == F.col("rep")).select(F.col("region").cast("string").alias("region"), "rep", "hi", "lo", "n", "copies", "text")
+    texts = docs.select("doc_id", "text").join(sized(wanted, 64, most=BESIDE_TEXTS), F.col("doc_id") == F.col("rep")).select(F.col("region").cast("string").alias("region"), "rep", "hi", "lo", "n", "copies", "text")
 
     def run(batches):
         import pyarrow as pa

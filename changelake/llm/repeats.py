@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, lean, mix64, sized, tune, utf8, written
+from .common import BESIDE_TEXTS, chunks, documents, lean, mix64, sized, tune, utf8, written
 
 LEAST = 400
 BATCH_BYTES, PIECE = 1 << 19, 8 << 20
@@ -223,7 +223,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """The bytes of contexts wanted (gram, ctx, tkey, tlen, s0, s1, off), each read from one text."""
     lists = wanted.groupBy("tkey", "tlen").agg(F.collect_list(F.struct("s0", "s1", "off", "gram", "ctx")).alias("cs"))
     lists = written(lists, "lists")
-    texts = keyed(docs).where(F.col("tlen") >= least).join(sized(lists, 16, "cs"), ["tkey", "tlen"]).select("tkey", "tlen", "cs", "text")
+    texts = keyed(docs).where(F.col("tlen") >= least).join(sized(lists, 16, "cs", most=BESIDE_TEXTS), ["tkey", "tlen"]).select("tkey", "tlen", "cs", "text")
 
     def run(batches):
         import pyarrow as pa
@@ -405,7 +405,7 @@ def cut(docs: DataFrame, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)
     """keep, n_bytes, n_removed, n_spans and kept (the bytes that stay; whole characters, if so wanted) of every document."""
     found = covers(docs, least)
     texts = keyed(docs, *[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)])
-    rows = texts.join(sized(found, 16, "spans"), ["tkey", "tlen"], "left").select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], F.col("spans").alias("__spans"), F.col("text").alias("__text"))
+    rows = texts.join(sized(found, 16, "spans", most=BESIDE_TEXTS), ["tkey", "tlen"], "left").select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], F.col("spans").alias("__spans"), F.col("text").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", n_bytes long, n_removed long, n_spans long, kept binary"
 
     def run(batches):
