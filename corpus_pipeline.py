@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.llm import jaccard, language, mixing, packing, repeats
-from changelake.llm.common import documents, lean, rested, sized, written
+from changelake.llm.common import BESIDE_TEXTS, documents, lean, rested, sized, written
 
 #: Near duplicates: shingles of five words, similarity 0.8. Passages of 50 words and more are about 240 bytes.
 WORDS, PERCENT, REPEAT_BYTES = 5, 80, 240
@@ -50,14 +50,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     and text), one. Rows that share a doc_id but hold different texts stay or go together."""
     linked = written(jaccard.link(docs, WORDS, PERCENT), "linked")
     lost = linked.where("component_id <> doc_id").select(F.col("doc_id").alias("lost")).distinct()
-    kept = docs.join(sized(lost, 16), F.col("doc_id") == F.col("lost"), "left_anti")
+    kept = docs.join(sized(lost, 16, most=BESIDE_TEXTS), F.col("doc_id") == F.col("lost"), "left_anti")
     # Rows that share a doc_id: rare, so only those are compared by their text.
     often = linked.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("often"))
     often = written(often, "often")
     if often.isEmpty():
         return kept
-    single = kept.join(sized(often, 16), F.col("doc_id") == F.col("often"), "left_anti")
-    several = kept.join(sized(often, 16), F.col("doc_id") == F.col("often"), "left_semi")
+    single = kept.join(sized(often, 16, most=BESIDE_TEXTS), F.col("doc_id") == F.col("often"), "left_anti")
+    several = kept.join(sized(often, 16, most=BESIDE_TEXTS), F.col("doc_id") == F.col("often"), "left_semi")
     return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
@@ -78,7 +78,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Rows equal in doc_id and text share what was taken for them.
     per = takes.groupBy("doc_id", "__key").agg(F.max("size").alias("size"), F.floor(F.sum("taken") / F.count("*")).cast("long").alias("taken")).where("taken > 0")
     per = written(per.select(F.col("doc_id").alias("d"), F.col("__key").alias("k"), "size", "taken"), "takes")
-    rows = docs.withColumn("__key", key).join(sized(per, 40), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("__key") == F.col("k")))
+    rows = docs.withColumn("__key", key).join(sized(per, 40, most=BESIDE_TEXTS), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("__key") == F.col("k")))
     whole = rows.where("taken >= size").withColumn("__n", F.explode(F.array_repeat(F.lit(1), (F.col("taken") / F.col("size")).cast("int")))).select(*docs.columns)
     part = rows.where("taken % size > 0").withColumn("__words", F.col("taken") % F.col("size")).select(*docs.columns, "__words")
     return whole.unionByName(_first_words(part, docs))
