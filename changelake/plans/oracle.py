@@ -145,7 +145,7 @@ SQL = {
     "catalog_plan": f"""WITH {LOG}, c AS (SELECT user_id, max(lsn) AS detected_lsn, CASE arg_max(event_type, lsn) WHEN 'error' THEN 'dropped' WHEN 'signup' THEN 'new' ELSE 'schema' END AS kind FROM log GROUP BY 1),
         d AS (SELECT c.*, kind = 'dropped' AND user_id % 3 = 0 AS held, mode, mode LIKE 'replicate%' AND kind = 'dropped' AND user_id % 3 <> 0 AS destroys FROM c, (VALUES ('replicate False'), ('replicate True'), ('log False')) m(mode) WHERE detected_lsn <= (SELECT max(lsn) - 60 FROM log))
       SELECT user_id::VARCHAR AS "table", detected_lsn, kind, CASE WHEN held THEN 'deferred' WHEN destroys AND mode = 'replicate False' AND count(*) FILTER (destroys) OVER (PARTITION BY mode) > 1 THEN 'refused' ELSE 'apply' END AS decision, mode FROM d""",
-    "publication_admissions": "SELECT * FROM (VALUES ('ours','admitted','flight'),('theirs','external','flight'),('every','external','flight'),('failed','error','flight'),('ours','refused','external'),('theirs','external','external'),('every','external','external'),('failed','refused','external')) t(\"table\", admission, ownership)",
+    "publication_admissions": "SELECT * FROM (VALUES ('ours','admitted','own'),('theirs','external','own'),('every','external','own'),('failed','error','own'),('ours','refused','external'),('theirs','external','external'),('every','external','external'),('failed','refused','external')) t(\"table\", admission, ownership)",
     "identity_metadata": "SELECT * FROM (VALUES ('a','z,x'),('b','k')) t(\"table\", key_columns)",
     "partition_children": "SELECT * FROM (VALUES ('app','p_1','app','p'),('app','p_2','app','p')) t(schema, \"table\", root_schema, root_table)",
     "inspection": f"""WITH {LOG}, p AS (SELECT event_type AS src_table, count(*) AS rows, count(*) FILTER (op = 'c') AS inserts, count(*) FILTER (op = 'u') AS updates, count(*) FILTER (op = 'd') AS deletes, max(lsn) AS last_lsn FROM log GROUP BY 1)

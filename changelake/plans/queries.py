@@ -511,7 +511,7 @@ def catalog_plan(spark, sf):
 def publication_admissions(spark, sf):
     rows = [("child", True, False, False, None), ("ours", False, False, False, None), ("theirs", False, True, False, None), ("every", False, False, True, None), ("failed", False, False, False, "no right")]
     seen = literal(spark, "table string, is_partition boolean, published boolean, all_tables boolean, error string", rows)
-    return catalog.admissions(seen, "flight").withColumn("ownership", F.lit("flight")).unionByName(catalog.admissions(seen, "external").withColumn("ownership", F.lit("external")))
+    return catalog.admissions(seen, "own").withColumn("ownership", F.lit("own")).unionByName(catalog.admissions(seen, "external").withColumn("ownership", F.lit("external")))
 
 
 @query
