@@ -49,9 +49,12 @@ def lean(run, keeps_words: bool = False):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one of its own only where that is unset, as in tests."""
+    """The folder that driver and executors share (spark.checkpoint.dir); one of its own only where that is
+    unset and everything runs on one machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='changelake-')}"
         atexit.register(shutil.rmtree, found.removeprefix("file://"), ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", found)
