@@ -3,14 +3,14 @@
 Components become floor(256 x). With M the largest norm of any vector, a data vector x gets one more component
 sqrt(M^2 - |x|^2) and a query q a 0; then |q' - x'|^2 = |q|^2 + M^2 - 2 q.x, so the largest inner products are the
 nearest neighbours of a metric space. Queries and data are grouped by their nearest pivot. Summaries of the groups (the
-radius of the queries, the k + 1 smallest distances of the data to its pivot) bound how far the k-th neighbour of any
-query of a group can be; data vectors beyond that bound aren't sent to the group. A group's queries (in blocks of
+radius of the queries, the k + 1 smallest distances of different vec_ids of the data to its pivot, so that repeated rows
+don't count as neighbours) bound how far the k-th neighbour of any query of a group can be; data vectors beyond that bound aren't sent to the group. A group's queries (in blocks of
 QUERY_ROWS) meet its data in units of bounded size: a unit keeps its queries and streams its data, and partial lists of
 k are merged by query. Scores are exact integers; bounds carry a slack for rounding and only ever send too much.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows with a null vec_id, take no part;
-missing components of shorter vectors count as 0; rows that bear the query's vec_id are its own; exact repeats of a row
-count once; equal scores go to the smaller vec_id; with fewer than k candidates all are returned; an empty table gives
+missing components of shorter vectors count as 0; rows that bear the query's vec_id are its own; rows that
+repeat both a vec_id and its score count once; equal scores go to the smaller vec_id; with fewer than k candidates all are returned; an empty table gives
 no rows; a score beyond 64 bits is the largest or smallest long; other columns of the input are ignored.
 """
 
@@ -72,6 +72,22 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
     return np.r_[above, np.flatnonzero(scores == limit)[: k - len(above)]]
 
 
+def nearest(d: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k smallest distances of different ids, ascending, with their ids."""
+    order = np.lexsort((ids, d))
+    d, ids = d[order], ids[order]
+    first = np.sort(np.unique(ids, return_index=True)[1])[:k]
+    return d[first], ids[first]
+
+
+def distinct_pairs(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair (id, score) once, ids ascending."""
+    order = np.lexsort((scores, ids))
+    ids, scores = ids[order], scores[order]
+    new = np.r_[True, (ids[1:] != ids[:-1]) | (scores[1:] != scores[:-1])]
+    return ids[new], scores[new]
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score of the k best vectors for each row of vectors (vec_id, embedding) with is_query."""
     spark = vectors.sparkSession
@@ -120,36 +136,44 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         import pyarrow as pa
 
         radius, queries = np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
-        rows, near = np.zeros(len(pivots), np.int64), [np.zeros(0)] * len(pivots)
+        near = [(np.zeros(0), np.zeros(0, np.int64))] * len(pivots)
         for batch in batches:
             good, x = matrix(batch.column(1))
             x = widened(x, width)
             if not len(x):
                 continue
+            ids = np.asarray(batch.column(0))[good].astype(np.int64)
             d = to_pivots(x)
             cell = d.argmin(1)
             for j in np.unique(cell):
-                mine = d[cell == j, j]
-                rows[j] += len(mine)
-                near[j] = np.sort(np.r_[near[j], np.partition(mine, min(k, len(mine) - 1))[: k + 1]])[: k + 1]
+                mine = nearest(d[cell == j, j], ids[cell == j], k + 1)
+                near[j] = nearest(np.r_[near[j][0], mine[0]], np.r_[near[j][1], mine[1]], k + 1)
             q = x[np.asarray(batch.column(2))[good]]
             if len(q):
                 at, far = home(q)
                 np.maximum.at(radius, at, far)
                 np.add.at(queries, at, 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pivots), dtype=np.int32)), pa.array(rows), pa.array(queries), pa.array(radius), pa.array([v.tolist() for v in near], pa.list_(pa.float64()))], names=["cell", "n", "queries", "radius", "near"])
-
-    found = base.mapInArrow(lean(summarize), "cell int, n long, queries long, radius double, near array<double>").groupBy("cell")
-    found = found.agg(F.sum("n").alias("n"), F.sum("queries").alias("queries"), F.max("radius").alias("radius"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near")).collect()
+        # A row for each cell and near id; a cell's radius and count stand in its first one, which may be without an id.
+        out = []
+        for j in range(len(pivots)):
+            pairs = list(zip(near[j][1].tolist(), near[j][0].tolist(), strict=True)) or [(None, None)]
+            out += [(j, int(queries[j]) if not i else 0, float(radius[j]) if not i else -1.0, *pair) for i, pair in enumerate(pairs)]
+        types = (pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["cell", "queries", "radius", "id", "d"])
+
+    found = base.mapInArrow(lean(summarize), "cell int, queries long, radius double, id long, d double")
+    found = found.groupBy("cell", "id").agg(F.sum("queries").alias("queries"), F.max("radius").alias("radius"), F.min("d").alias("d")).groupBy("cell")
+    found = found.agg(F.sum("queries").alias("queries"), F.max("radius").alias("radius"), F.slice(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("d", "id")))), 1, k + 1).alias("near")).collect()
     radius, queries = np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
-    near: list[list[float]] = [[]] * len(pivots)
+    near: list[list[tuple[float, int]]] = [[]] * len(pivots)
     for r in found:
-        radius[r.cell], queries[r.cell], near[r.cell] = r.radius, r.queries, r.near
+        radius[r.cell], queries[r.cell], near[r.cell] = r.radius, r.queries, [(x.d, x.id) for x in r.near]
+    cells, near_d, near_id = (np.array(c, t) for c, t in zip(zip(*((j, *x) for j, v in enumerate(near) for x in v), strict=True), (np.int64, np.float64, np.int64), strict=True))
     between = to_pivots(pivots)
     slack = 1e-6 * (1.0 + np.sqrt(top))
     reach = np.full(len(pivots), np.inf)
     for i in range(len(pivots)):
-        upper = np.sort(np.concatenate([radius[i] + between[i, j] + np.asarray(near[j]) for j in range(len(pivots))]))
+        upper = nearest(radius[i] + between[i, cells] + near_d, near_id, k + 1)[0]
         if exact and len(upper) > k:
             reach[i] = radius[i] + upper[k] + slack
     blocks = -(-queries // QUERY_ROWS)
@@ -215,11 +239,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
                     continue
                 rows = np.unique(np.c_[ids, vectors.view(np.int64)], axis=0)  # ascending ids, repeats once
                 ids, vectors = rows[:, 0], np.ascontiguousarray(rows[:, 1:]).view(np.float64)
+                several = bool((ids[1:] == ids[:-1]).any())
                 for a in range(0, len(q), 256):
                     scores = products(q[a : a + 256], vectors, exact)
                     for i in range(len(scores)):
-                        at = best(scores[i], ids, int(q_ids[a + i]), k)
-                        vs, ws = np.r_[lists[a + i][0], ids[at]], np.r_[lists[a + i][1], scores[i][at]]
+                        ids_i, scores_i = distinct_pairs(ids, scores[i]) if several else (ids, scores[i])
+                        at = best(scores_i, ids_i, int(q_ids[a + i]), k)
+                        vs, ws = np.r_[lists[a + i][0], ids_i[at]], np.r_[lists[a + i][1], scores_i[at]]
                         order = np.lexsort((vs, -ws))
                         vs, ws = vs[order], ws[order]
                         new = np.r_[True, (vs[1:] != vs[:-1]) | (ws[1:] != ws[:-1])] if len(vs) else np.zeros(0, bool)

@@ -77,6 +77,20 @@ def test_top_k(spark):
     assert knn.top_k(df.limit(0), knn.F.lit(True)).count() == 0
 
 
+def test_top_k_of_repeated_rows(spark):
+    # The only query is the only pivot, and its repeats lie nearer to it than any neighbour.
+    first = spark.range(40).orderBy(knn.F.xxhash64("id"), "id").first().id
+    vector = lambda i: [float(j == i % 4) + (j == 4 + i % 3) / 2 for j in range(8)]
+    rows = [(i, vector(i)) for i in range(40)] + [(first, vector(first))] * 9
+    # One vec_id with many vectors of equal score, and one with several scores.
+    rows += [(50, [float(j == first % 4) + (j == 4 + first % 3) / 2 + (j == 7) * n for j in range(8)]) for n in range(1, 9)] + [(51, vector(i)) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [int(np.floor(256 * x)) for x in e]) for i, e in rows]
+    want = brute_top(whole, {(i, tuple(v)) for i, v in whole if i == first}, 5)
+    for parts in (1, 5):
+        assert sorted(map(tuple, knn.top_k(df.repartition(parts), knn.F.col("vec_id") == int(first)).collect())) == want
+
+
 # 2
 
 
