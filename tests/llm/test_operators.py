@@ -212,6 +212,18 @@ def test_words_encode_like_texts(tokenizer):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_words_past_the_normalizers(tokenizer):
+    """Words of few letters from many alphabets, each met for the first time: none may differ from the whole tokenizer."""
+    rng, encoder = np.random.default_rng(11), tokens.Encoder(tokens.default_path(), 1 << 20)
+    assert encoder.direct
+    some = list("abcdexyzäöüßéèñçœÀÉÑΣσςάλєѐ'.,-1½ªºǅŉſıİ·;ʹ;")
+    for letters in (some, [chr(c) for c in range(0x21, 0x600)]):
+        for size in rng.integers(1, 8, 5000):
+            word = "".join(rng.choice(letters, size)) + " x"
+            want = np.asarray(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            assert encoder.encode([word.encode()]) == [want], word
+
+
 def test_packing(spark, texts, tokenizer):
     rows = packing.pack(packing.written(packing.cut(docs_frame(spark, texts)), "pieces")).collect()
     want = Counter()
