@@ -668,9 +668,12 @@ def recovery_finished(spark, sf):
 
 @query
 def slot_history(spark, sf):
-    """Observations in a row, decided by the table: a slot that falls back was made anew."""
-    seen = change_log(spark, sf).select(F.col("user_id").alias("slot"), F.col("lsn").alias("at"), F.when(F.col("lsn") % 11 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("restart_lsn"), F.when(F.col("lsn") % 22 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("confirmed_flush_lsn"), F.lit("s").alias("system_identifier"), F.lit(1).alias("timeline_id"))
-    rows = control.slot_history(seen).withColumns({"observable": F.lit(True), "durable_lsn": F.lit(10**6).cast("long"), "slot_exists": F.lit(True), "current_wal_lsn": F.lit(10**7).cast("long"), "destination_rows": F.lit(1)})
+    """Observations in a row, decided by the table: a slot that falls back was made anew. All of the log is durable, however long."""
+    log = change_log(spark, sf)
+    end = log.agg(F.greatest(F.max("lsn"), F.lit(0)).alias("end_lsn"))  # one row
+    seen = log.select(F.col("user_id").alias("slot"), F.col("lsn").alias("at"), F.when(F.col("lsn") % 11 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("restart_lsn"), F.when(F.col("lsn") % 22 == 0, 0).otherwise(F.col("lsn")).cast("long").alias("confirmed_flush_lsn"), F.lit("s").alias("system_identifier"), F.lit(1).alias("timeline_id"))
+    rows = control.slot_history(seen).crossJoin(F.broadcast(end))
+    rows = rows.withColumns({"observable": F.lit(True), "durable_lsn": F.col("end_lsn"), "slot_exists": F.lit(True), "current_wal_lsn": F.col("end_lsn"), "destination_rows": F.lit(1)})
     return reconcile.slot_verdicts(rows).groupBy("slot", "verdict").agg(F.count("*").alias("seen"))
 
 

@@ -44,3 +44,12 @@ def test_query_equals_sql(spark, duck, name):
     columns = [d[0] for d in want.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows(df.columns, got) == rows(columns, want.fetchall())
+
+
+@pytest.mark.parametrize("shift", [-5_000, 2_000_000, 25_000_000])
+def test_slot_history_at_any_position(spark, tmp_path, shift):
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE events AS SELECT * REPLACE (event_id + {shift} AS event_id) FROM read_parquet('{SF}/events.parquet') UNION ALL SELECT * REPLACE (NULL AS event_id) FROM read_parquet('{SF}/events.parquet') WHERE event_id % 100 = 0")
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    got = queries.QUERIES["slot_history"](spark, str(tmp_path)).select("slot", "verdict", "seen").collect()
+    assert rows("svn", got) == rows("svn", con.execute(oracle.SQL["slot_history"]).fetchall())
