@@ -412,6 +412,29 @@ def test_repeats(spark, texts, monkeypatch, least, family, unit):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in out) == brute_cut(texts, least)
 
 
+def test_repeats_of_a_passage_in_many_texts(spark, monkeypatch):
+    """The rows of families beyond a unit grow with the contexts, not with their windows too."""
+    rng = random.Random(7)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    least, passage, ends = 120, some(330), [some(40) for _ in range(3)]
+    # Ends all differ, or are shared by a part of the texts, or are cut off; twice in one text, and in equal texts.
+    texts = [(i, some(rng.randint(0, 50)) + (rng.choice(ends) if i % 3 == 0 else "") + passage[rng.choice([0, 0, 0, 5, 90]) :] + (rng.choice(ends) if i % 2 else "") + some(rng.randint(0, 50))) for i in range(120)]
+    texts += [(200, passage + some(9) + passage), (201, texts[3][1]), (202, texts[3][1]), (203, some(400))]
+    made, written = Counter(), repeats.written
+
+    def counted(df, label, *more):
+        out = written(df, label, *more)
+        made[label] += out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "written", counted)
+    monkeypatch.setattr(repeats, "FAMILY_BYTES", 3000)
+    monkeypatch.setattr(repeats, "UNIT_BYTES", 4000)
+    out = repeats.cut(docs_frame(spark, texts), least).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in out) == brute_cut(texts, least)
+    assert made["families"] <= 4 * made["contexts"]
+
+
 def test_repeats_of_nothing_and_long_texts_in_pieces(spark, texts, monkeypatch):
     assert repeats.cut(docs_frame(spark, texts).limit(0)).count() == 0
     monkeypatch.setattr(repeats, "PIECE", 700)
