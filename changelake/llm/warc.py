@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import lean, sized, tune, written
 
 ARCHIVE_BYTES = 4 << 20
+#: An archive is inflated in pieces of this size.
+FEED = 1 << 13
 LEVEL = 4
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -67,15 +69,24 @@ def records(page_id, url, html: bytes, first, unique) -> bytes:
     return b"".join(out)
 
 
+def members(archive: bytes, name: str):
+    """The gzip members of an archive, inflated. zlib copies what it was given beyond a member's end, so it gets small pieces:
+    with all the rest of the archive each time, the copies would grow with the square of the archive's size."""
+    rest, at = memoryview(archive), 0
+    while at < len(rest):
+        inflate, out = zlib.decompressobj(31), []
+        while not inflate.eof:
+            piece = rest[at : at + FEED]
+            if not piece:
+                raise Damaged(f"{name} ends inside a record")
+            out.append(inflate.decompress(piece))
+            at += len(piece) - len(inflate.unused_data)
+        yield b"".join(out)
+
+
 def parse(archive: bytes, name: str, with_payload: bool):
     """The records of an archive as tuples of RECORD; digests and lengths are verified."""
-    rest = archive
-    while rest:
-        inflate = zlib.decompressobj(31)
-        data = inflate.decompress(rest)
-        if not inflate.eof:
-            raise Damaged(f"{name} ends inside a record")
-        rest = inflate.unused_data
+    for data in members(archive, name):
         head, _, body = data.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if not lines[0].startswith("WARC/1."):

@@ -578,3 +578,31 @@ def test_warc(spark):
         list(warc.parse(bytes(data), "a", True))
     with pytest.raises(warc.Damaged):
         list(warc.parse(bytes(data[:-9]), "a", True))
+
+
+def test_archives_are_read_in_linear_time(monkeypatch):
+    """What inflating copies beyond the members' ends grows with the archive, not with its square."""
+    blocks = [(b"%d " % i) * (20_000 if i == 700 else 5) for i in range(1500)]
+    files = b"".join(warc.record("metadata", f"<urn:{i}>", b, "t", []) for i, b in enumerate(blocks))
+    copied, inflater = [], zlib.decompressobj
+
+    class Counted:
+        def __init__(self, *how):
+            self.inner = inflater(*how)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def decompress(self, data):
+            out = self.inner.decompress(data)
+            copied.append(len(self.inner.unused_data))
+            return out
+
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counted)
+    found = list(warc.parse(files, "a", True))
+    assert [r[1] for r in found] == [f"<urn:{i}>" for i in range(1500)]
+    assert len(files) > 20 * warc.FEED and sum(copied) <= len(found) * warc.FEED
+    large = warc.record("metadata", "<urn:x>", random.Random(3).randbytes(3 * warc.FEED), "t", [])
+    for end in (len(large) - 1, warc.FEED, 2 * warc.FEED):
+        with pytest.raises(warc.Damaged):
+            list(warc.parse(large[:end], "a", True))
